@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from faregate.functions import digest
 from faregate.functions.text import numbered_label
-from faregate.operators.shares import row_total_of
 
 
 @dataclass(frozen=True)
@@ -27,7 +26,7 @@ def share_of_rows(rate: float) -> Callable[[Column], Column]:
 
 
 def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> Column:
-    """For each pick the largest draw still chosen, as one map (a scalar subquery).
+    """For each pick the largest draw still chosen, as one struct (a scalar subquery).
 
     Draws are uniform, so the wanted draw lies within a few standard deviations
     of ``size / n``. One pass over the key column counts what lies below that
@@ -35,65 +34,70 @@ def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> Column:
     which are then ranked. Every pick is found in the same pass. A band that
     misses (only possible when the key is not unique) raises an error.
     """
-    n = row_total_of(df)
-    keys = df.select(F.col(key).alias("__k"))
-    entries = []
+    n = F.col("n")
+    bands = []
     for name, pick in picks.items():
-        drawn, size = digest.draw(F.col("__k"), pick.salt), pick.size(F.col("__n"))
-        centre = size / F.col("__n")
-        reach = (F.lit(8.0) * F.sqrt(size + 1) + F.lit(32.0)) / F.col("__n")
-        low = digest.threshold_of(centre - reach)
-        high = digest.threshold_of(centre + reach)
-        entries.append(
-            F.when(
-                drawn < high,
-                F.struct(
-                    F.lit(name).alias("pick"),
-                    size.alias("size"),
-                    F.when(drawn >= low, drawn).alias("drawn"),
-                ),
-            )
+        size = pick.size(n)
+        reach = (F.lit(8.0) * F.sqrt(size + 1) + F.lit(32.0)) / n
+        bands.append(
+            F.struct(
+                size.alias("size"),
+                digest.threshold_of(size / n - reach).alias("low"),
+                digest.threshold_of(size / n + reach).alias("high"),
+            ).alias(name)
         )
     band = (
-        keys.withColumn("__n", n)
-        .select(F.explode(F.array(*entries)).alias("e"))
+        df.agg(F.count(F.lit(1)).alias("n")).where(n > 0).select(F.struct(*bands)).scalar()
+    )
+    # Draws are computed once per row, below the explode; the bands once per query.
+    drawn = df.select(
+        band.alias("__band"),
+        *[digest.draw(F.col(key), pick.salt).alias(name) for name, pick in picks.items()],
+    )
+    entries = [
+        F.when(
+            F.col(name) < F.col(f"__band.{name}.high"),
+            F.struct(
+                F.lit(name).alias("pick"),
+                F.col(f"__band.{name}.size").alias("size"),
+                F.when(F.col(name) >= F.col(f"__band.{name}.low"), F.col(name)).alias("drawn"),
+            ),
+        )
+        for name in picks
+    ]
+    counted = (
+        drawn.select(F.explode(F.array(*entries)).alias("e"))
         .where(F.col("e").isNotNull())
         .select("e.pick", "e.size", "e.drawn")
         .groupBy("pick", "size", "drawn")
         .agg(F.count(F.lit(1)).alias("c"))
     )
     running = Window.partitionBy("pick").orderBy(F.col("drawn").asc_nulls_first())
-    cum = F.col("cum")
+    size, cum = F.col("size"), F.col("cum")
     limits = (
-        band.withColumn("cum", F.sum("c").over(running))
-        .groupBy("pick")
-        .agg(
-            F.any_value("size").alias("size"),
-            F.max(F.when(cum == F.col("size"), F.col("drawn"))).alias("drawn"),
-        )
-        .select(
-            "pick",
-            F.when(F.col("size") == 0, F.lit(""))
-            .when(F.col("drawn").isNotNull(), F.col("drawn"))
-            .otherwise(
-                F.raise_error(F.lit("exact pick not found: the key is not unique"))
-                .cast("string")
-            )
-            .alias("drawn"),
-        )
+        counted.withColumn("cum", F.sum("c").over(running))
+        .groupBy("pick", "size")
+        .agg(F.max(F.when(cum == size, F.col("drawn"))).alias("drawn"))
+    )
+    missed = F.raise_error(F.lit("exact pick not found: the key is not unique")).cast("string")
+    found = (
+        F.when(size == 0, F.lit(""))
+        .when(F.col("drawn").isNotNull(), F.col("drawn"))
+        .otherwise(missed)
+    )
+    return (
+        limits.select("pick", found.alias("drawn"))
+        .agg(*[F.max(F.when(F.col("pick") == name, F.col("drawn"))).alias(name) for name in picks])
+        .select(F.struct(*picks))
+        .scalar()
     )
-    return limits.agg(
-        F.map_from_entries(F.collect_list(F.struct("pick", "drawn")))
-    ).scalar()
 
 
 def with_picks(df: DataFrame, key: str, picks: dict[str, Pick]) -> DataFrame:
     """Add one boolean column per pick; exactly ``size`` rows are true in each."""
-    limits = pick_limits(df, key, picks)
-    flagged = df.withColumn("__limits", limits)
+    flagged = df.withColumn("__limits", pick_limits(df, key, picks))
     flags = {
-        name: digest.draw(F.col(key), pick.salt)
-        <= F.coalesce(F.col("__limits")[name], F.lit(""))
+        name: F.coalesce(digest.draw(F.col(key), pick.salt) <= F.col(f"__limits.{name}"), F.lit(False))
         for name, pick in picks.items()
     }
     return flagged.withColumns(flags).drop("__limits")

@@ -88,10 +88,9 @@ def trip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skewed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a pick-up zone drawn so that one key holds 90 % of the rows."""
-    borough = sampling.skewed_borough(F.col("event_id"))
-    zone = F.lit(None).cast("int")
-    for number, name in enumerate(sampling.BOROUGH_WEIGHTS, start=1):
-        zone = F.when(borough == name, F.lit(number)).otherwise(zone)
-    return table(spark, sf_dir, "events").select(
-        "event_id", borough.alias("pickup_borough"), zone.alias("LocationID"), "value"
+    names = F.array(*[F.lit(name) for name in sampling.BOROUGH_WEIGHTS])
+    drawn = table(spark, sf_dir, "events").select(
+        "event_id", sampling.skewed_borough(F.col("event_id")).alias("pickup_borough"), "value"
     )
+    zone = F.array_position(names, F.col("pickup_borough")).cast("int")
+    return drawn.withColumn("LocationID", zone)

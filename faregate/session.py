@@ -57,12 +57,18 @@ def build_session(
     conf = {**LAUNCH_PROFILES[profile], **SQL_PROFILES[profile]}
     if event_dir:
         conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.compress"] = "false"  # a running session's log stays readable
         conf["spark.eventLog.dir"] = event_dir if "://" in event_dir else f"file://{event_dir}"
     for name, value in {**conf, **(extra or {})}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
+def flush_events(spark: SparkSession, wait_ms: int = 10_000) -> None:
+    """Wait until the running session has written its events to its log."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(wait_ms)
+
+
 def variant_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     """A sibling session on the same cluster with its own SQL settings.
 

@@ -1,0 +1 @@
+"""The reference has no streaming operator; nothing is added here beyond it."""
