@@ -73,24 +73,20 @@ def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> Column:
         .agg(F.count(F.lit(1)).alias("c"))
     )
     running = Window.partitionBy("pick").orderBy(F.col("drawn").asc_nulls_first())
-    size, cum = F.col("size"), F.col("cum")
-    limits = (
+    last = F.when(F.col("cum") == F.col("size"), F.col("drawn"))
+    found = (
         counted.withColumn("cum", F.sum("c").over(running))
-        .groupBy("pick", "size")
-        .agg(F.max(F.when(cum == size, F.col("drawn"))).alias("drawn"))
+        .agg(*[F.max(F.when(F.col("pick") == name, last)).alias(name) for name in picks])
+        .withColumn("__band", band)
     )
     missed = F.raise_error(F.lit("exact pick not found: the key is not unique")).cast("string")
-    found = (
-        F.when(size == 0, F.lit(""))
-        .when(F.col("drawn").isNotNull(), F.col("drawn"))
-        .otherwise(missed)
-    )
-    return (
-        limits.select("pick", found.alias("drawn"))
-        .agg(*[F.max(F.when(F.col("pick") == name, F.col("drawn"))).alias(name) for name in picks])
-        .select(F.struct(*picks))
-        .scalar()
-    )
+
+    def limit(name: str) -> Column:
+        size = F.coalesce(F.col(f"__band.{name}.size"), F.lit(0))
+        known = F.when(size == 0, F.lit("")).when(F.col(name).isNotNull(), F.col(name))
+        return known.otherwise(missed).alias(name)
+
+    return found.select(F.struct(*[limit(name) for name in picks])).scalar()
 
 
 def with_picks(df: DataFrame, key: str, picks: dict[str, Pick]) -> DataFrame:

@@ -159,12 +159,14 @@ def build(
     layout.write_parquet(zones, f"{out}/s7/zones.parquet")
 
     clean = ranks.first_rows(wide, ROW_ID, size.dirty_rows)
-    dirty = defects.inject_defects(clean, DIRTY)
+    dirty = defects.inject_defects(clean, DIRTY).drop(ROW_ID)
     layout.write_parquet(dirty, f"{out}/s8/trips_dirty.parquet")
     dirty = tables.read_parquet(spark, f"{out}/s8/trips_dirty.parquet")
     layout.write_manifest(gates.manifest(clean, dirty, DIRTY), f"{out}/s8/defect_manifest.json")
     next_day = ranks.slice_rows(wide, ROW_ID, size.dirty_rows, 2 * size.dirty_rows)
-    layout.write_parquet(defects.second_day(next_day), f"{out}/s8/trips_day2.parquet")
+    layout.write_parquet(
+        defects.second_day(next_day.select(*columns)), f"{out}/s8/trips_day2.parquet"
+    )
 
     facts = manifest_rows(spark, wide, out, len(columns), time.monotonic() - began)
     layout.write_manifest(facts, f"{out}/manifest")
