@@ -12,14 +12,14 @@ from pyspark.sql import types as T
 def row_identity(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """Group keys equal exactly for equal rows, with long texts as SHA-256.
 
-    The digest keeps whole texts out of the shuffle: 64 characters per text
-    travel, whatever its length.
+    The digest keeps whole texts out of the shuffle: 32 bytes per text travel,
+    whatever its length.
     """
     keys = []
     for name in columns:
         kind = df.schema[name].dataType
         if isinstance(kind, (T.StringType, T.BinaryType)):
-            keys.append(F.sha2(F.col(name).cast("binary"), 256).alias(name))
+            keys.append(F.unhex(F.sha2(F.col(name).cast("binary"), 256)).alias(name))
         else:
             keys.append(F.col(name))
     return keys

@@ -112,17 +112,16 @@ def reconcile(clean: DataFrame, dirty: DataFrame, columns: DirtyColumns) -> Data
     rows give the clean rows: the estimate from the counts, and the exact
     number that pass every gate.
     """
-    single = dirty.dropDuplicates()
     gates = row_gates(columns)
     any_hit = F.lit(False)
     for predicate in gates.values():
         any_hit = any_hit | predicate
+    single = dirty.groupBy(*dirty.columns).agg(F.count(F.lit(1)).alias("__copies"))
     measured = single.agg(
         *[F.count_if(hit).alias(name) for name, hit in gates.items()],
         F.count_if(~any_hit).alias("clean_rows"),
-        F.count(F.lit(1)).alias("single_rows"),
-    ).withColumn("total_rows", row_total_of(dirty)).withColumn(
-        "exact_duplicates", F.col("total_rows") - F.col("single_rows")
+        F.coalesce(F.sum("__copies"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("exact_duplicates"),
     )
     injected = defects.injected_counts(clean)
     spoilt = injected.where(F.col("metric") != "duplicate_rows").agg(F.sum("injected")).scalar()

@@ -69,37 +69,35 @@ def salted_join(
     spread_on: list[str],
     strategy: str = "auto",
     how: str = "left",
-    salts: int = 16,
-    min_share: float = 0.01,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Shuffled join whose hot keys are spread over ``salts`` partitions.
-
-    Keys with at least ``min_share`` of the fact rows are hot, so there are at
-    most ``1 / min_share`` of them and marking them is a broadcast of proven
-    size. Only hot dimension rows are copied ``salts`` times. Missing keys match
-    nothing and are spread too. The salt is a hash of row columns: a recomputed
-    task salts its rows the same way again.
+    """Shuffled join in which no key outgrows a partition, adaptive or not.
+
+    With P shuffle partitions a key is hot when it holds more than 1/P of the
+    fact rows. There are at most P such keys, so marking them is a broadcast of
+    proven size. A key with share s is spread over ``2 * s * P`` salts, about
+    half a partition each; its dimension row is copied as often, which adds at
+    most 3 P rows in all. Missing keys match nothing and are spread too. The
+    salt is a hash of row columns: a recomputed task salts its rows the same
+    way again.
     """
-    hot = F.broadcast(hot_keys(fact, key, min_share).select(key, F.lit(True).alias("__hot")))
-    spread = F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")
-    spreads = F.coalesce(F.col("__hot"), F.lit(False)) | F.col(key).isNull()
+    if partitions is None:
+        partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(
+        hot_keys(fact, key, 1.0 / partitions).select(
+            key, F.ceil(F.col("share") * (2 * partitions)).cast("int").alias("__salts")
+        )
+    )
+    salts = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(
+        F.coalesce(F.col("__salts"), F.lit(1))
+    )
     salted_fact = (
         fact.join(hot, key, "left")
-        .withColumn("__salt", F.when(spreads, spread).otherwise(F.lit(0)))
-        .drop("__hot")
-    )
-    salted_dim = (
-        dim.join(hot, key, "left")
-        .withColumn(
-            "__salt",
-            F.explode(
-                F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("__hot")
+        .withColumn("__salt", F.pmod(F.xxhash64(*spread_on), salts).cast("int"))
+        .drop("__salts")
     )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
+    salted_dim = dim.join(hot, key, "left").withColumn("__salt", F.explode(copies)).drop("__salts")
     if strategy == "hash":
         salted_dim = salted_dim.hint("shuffle_hash")
     elif strategy == "merge":

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregate.session import variant_session
+from faregate.session import shared_folder, variant_session
 
 NTZ_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # keeps microseconds in text formats
 
@@ -17,6 +17,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, read back.
+
+    For a result that several passes use: they scan the table instead of
+    repeating the work, and a lost executor costs a re-read.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table"
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (
         df.write.mode(mode)
@@ -141,7 +152,7 @@ def dataset_floor(
     size: int = FLOOR_BYTES,
 ) -> DataFrame:
     """Rows, months (and raw bytes) of a dataset and whether they clear the floor."""
-    month = F.date_trunc("month", F.col(ts)).cast("date")
+    month = F.trunc(F.col(ts).cast("date"), "month")
     per_month = df.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
     report = per_month.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),

@@ -53,7 +53,7 @@ def dominant_key(df: DataFrame, key: str, floor: float = 0.5) -> DataFrame:
     )
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, min_share: float) -> DataFrame:
     """Keys holding at least ``min_share`` of the rows: at most ``1/min_share`` keys."""
     return key_shares(df, key).where(F.col("share") >= F.lit(min_share))
 

@@ -113,7 +113,7 @@ def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[expr.alias(name) for name, expr in curate.calendar_columns(ts).items()],
         dropoff.alias("dropoff"),
         calendar.duration_seconds(ts, dropoff).alias("trip_duration_sec"),
-        calendar.duration_seconds(ts, F.date_trunc("day", ts).cast("timestamp_ntz")).alias(
+        calendar.duration_seconds(ts, ts.cast("date").cast("timestamp_ntz")).alias(
             "seconds_to_midnight"
         ),
     )
@@ -369,8 +369,9 @@ def defect_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def defect_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest as written and read back."""
     path = f"{shared_folder(spark)}/manifest"
+    dirty = layout.written(_dirty(spark, sf_dir))
     layout.write_manifest(
-        gates.manifest(trips.trip_events(spark, sf_dir), _dirty(spark, sf_dir), TRIP_EVENTS), path
+        gates.manifest(trips.trip_events(spark, sf_dir), dirty, TRIP_EVENTS), path
     )
     return spark.read.schema("metric string, value bigint, detail string").json(path)
 

@@ -9,7 +9,7 @@ from faregate import schemas
 from faregate.functions import text
 from faregate.operators import histogram as bins
 from faregate.operators import stages
-from faregate.operators.layout import listing, write_parquet
+from faregate.operators.layout import listing, write_parquet, written
 
 
 def latest_log(spark: SparkSession, event_dir: str) -> str:
@@ -39,6 +39,16 @@ def read_events(spark: SparkSession, log: str) -> DataFrame:
     return reader.json(log)
 
 
+def evidence(events: DataFrame) -> DataFrame:
+    """Only the two kinds of event the tables below need, parsed once and written.
+
+    Most of a log is other events; the report passes over its input several
+    times and should not parse JSON each time.
+    """
+    kinds = ("SparkListenerTaskEnd", "SparkListenerStageCompleted")
+    return written(events.where(F.col("Event").isin(*kinds)))
+
+
 def task_table(events: DataFrame) -> DataFrame:
     """One row per finished task attempt: time, shuffle, spill, records.
 
@@ -85,6 +95,7 @@ SUMS = ("shuffle_read", "shuffle_write", "spill_disk", "records_read")
 
 def stage_report(events: DataFrame) -> DataFrame:
     """Per stage: tasks, median, maximum, skew ratio, straggler flag, bytes, name."""
+    events = evidence(events)
     stats = stages.stage_stats(task_table(events), "stage", "seconds", SUMS)
     named = stats.join(stage_names(events), "stage", "left")
     return named.withColumn("name", F.coalesce("name", F.lit("?")))

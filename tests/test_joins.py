@@ -57,7 +57,7 @@ def test_salted_join_equals_plain_join(spark, sides, strategy, how):
     fact, dim = sides
     fact = fact.unionByName(spark.createDataFrame([(-1, None), (-2, 999)], "row bigint, k int"))
     plain = fact.join(dim, "k", how).select("row", "k", "zone")
-    salted = joins.salted_join(fact, dim, "k", ["row"], strategy, how, salts=4).select("row", "k", "zone")
+    salted = joins.salted_join(fact, dim, "k", ["row"], strategy, how, partitions=6).select("row", "k", "zone")
     assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, salted.collect()))
 
 
@@ -69,7 +69,7 @@ def test_salting_spreads_the_hot_key(spark):
     )
     dim = fixed.range(97).select(F.col("id").alias("k"), F.lit("x").alias("zone"))
     plain = joins.join_dimension(fact, dim, "k", "merge")
-    salted = joins.salted_join(fact, dim, "k", ["row"], "merge", salts=64)
+    salted = joins.salted_join(fact, dim, "k", ["row"], "merge")
     largest = {
         name: balance.balance(balance.rows_per_partition(df)).first()["max_rows"]
         for name, df in (("plain", plain), ("salted", salted))
