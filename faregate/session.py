@@ -87,12 +87,11 @@ def variant_session(spark: SparkSession, settings: dict[str, str]) -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the checkpoint folder the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, a laptop) a local
-    temporary folder is made and set as the checkpoint folder.
+    Only where no checkpoint folder is set (tests, a laptop) a local temporary
+    folder is made and set as the checkpoint folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="faregate-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/faregate-{uuid.uuid4().hex}"

@@ -22,7 +22,9 @@ def event_dir(tmp_path_factory):
 @pytest.fixture(scope="session")
 def spark(event_dir):
     session = build_session(
-        master="local[4]", event_dir=event_dir, extra={"spark.sql.shuffle.partitions": "4"}
+        master="local[4]",
+        event_dir=event_dir,
+        extra={"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

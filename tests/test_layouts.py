@@ -86,6 +86,13 @@ def test_replaying_a_day_changes_nothing_else(spark, daily, out):
     assert same_rows(tables.read_partitioned(spark, out, daily.schema), daily)
 
 
+def test_appending_a_day_twice_is_the_trap(spark, daily, out):
+    day = daily.where(F.col("pickup_date") == "2024-01-03")
+    for _ in range(2):
+        layout.write_partitioned(day, out, "pickup_date", mode="append")
+    assert tables.read_partitioned(spark, out, daily.schema).count() == 2 * day.count() > 0
+
+
 def test_ignore_mode_leaves_a_built_table_alone(spark, out):
     layout.write_parquet(spark.range(5), out, mode="ignore")
     layout.write_parquet(spark.range(9), out, mode="ignore")
