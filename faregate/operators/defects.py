@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faregate.operators.ranks import value_at_rank
+from faregate.operators.ranks import keys_at_ranks
 from faregate.operators.sampling import Pick, share_of_rows, with_picks
 
 # The share of rows each defect class touches.
@@ -68,7 +68,7 @@ def inject_defects(clean: DataFrame, columns: DirtyColumns) -> DataFrame:
     """
     c = columns
     flagged = with_picks(clean, c.key, _picks())
-    appears = value_at_rank(clean, c.key, lambda n: F.floor(n * F.lit(DRIFT_FROM)))
+    (appears,) = keys_at_ranks(clean, c.key, [lambda n: F.floor(n * F.lit(DRIFT_FROM))])
     fare, seconds = F.col(c.fare), F.col(c.duration)
     changed = flagged.withColumns(
         {

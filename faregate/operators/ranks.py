@@ -2,11 +2,12 @@
 
 ``orderBy().limit(k)`` brings k rows into one task, and an exact ``median``
 keeps every distinct value of a group in one task. Both grow with the data.
-Here an approximate quantile grid, whose rank error is bounded, brackets the
-wanted rank; the next pass looks only inside the bracket; a last pass counts
-what is left and finds the exact value. Each round keeps about 0.3 % of a
-group's rows, and there are as many rounds as the row count needs to leave at
-most ``RANKED_ROWS`` of them; all else is counted inside the scan's own tasks.
+Here approximate quantiles, whose rank error is bounded, bracket the wanted
+rank; the next pass looks only inside the bracket; a last pass counts what is
+left and finds the exact value. Each round keeps about 0.2 % of a group's rows,
+and there are as many rounds as the row count needs to leave at most
+``RANKED_ROWS`` of them; all else is counted inside the scan's own tasks. The
+sketches of all groups are merged in ``SLOTS`` tasks, a large group's in many.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faregate.operators.joins import BROADCAST_ROWS, attach_per_group, has_at_most
+from faregate.operators.joins import BROADCAST_ROWS, attach_per_group
 
-GRID = 1_000
-ACCURACY = 10_000
-KEPT_PER_ROUND = 0.0035  # three grid steps and the sketch error on both sides
+ACCURACY = 10_000  # a sketch of m rows is off by at most m / ACCURACY ranks
+SLOTS = 256  # tasks that merge sketches, shared out among the groups
+FEW_GROUPS = 1_000  # up to here each group gets the fine grid of quantiles
+FINE_GRID, COARSE_GRID = 1_000, 50
 RANKED_ROWS = 1_000_000  # at most this many rows are ranked in one task
 TOP_ROWS = 10_000  # up to here a plain top-k is one small task
 
@@ -32,34 +34,71 @@ def _whole(rank: RankOf) -> RankOf:
     return lambda n: F.floor(rank(n)).cast("bigint")
 
 
-def _rounds_for(rows: int) -> int:
-    rounds, left = 1, rows * KEPT_PER_ROUND
+def _rounds_for(rows: int, grid: int) -> int:
+    kept = 2.5 / grid  # two quantile steps and the sketch error on both sides
+    rounds, left = 1, rows * kept
     while left > RANKED_ROWS:
-        rounds, left = rounds + 1, left * KEPT_PER_ROUND
+        rounds, left = rounds + 1, left * kept
     return rounds
 
 
-def _grid_of(value: Column) -> Column:
-    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], ACCURACY)
+def _points(entries: DataFrame, keys: Sequence[str], grid: int, slots: int) -> DataFrame:
+    """Quantile points of each group with bounds on their ranks.
+
+    A null value stands for a row below the group's bracket: it counts, and
+    has no quantile. ``reached`` is the number of rows the points up to this
+    one stand for; between ``reached - off`` and ``reached + off + step`` rows
+    are smaller than the point or equal to it.
+    """
+    v = F.col("__v")
+    # As SQL text: a thousand literals are parsed at once instead of made one by one.
+    quantiles = ", ".join(f"{i / grid}D" for i in range(1, grid + 1))
+    sketch = F.expr(f"percentile_approx(__v, array({quantiles}), {ACCURACY})")
+    sketches = (
+        entries.withColumn("__slot", F.pmod(F.spark_partition_id(), F.lit(slots)))
+        .groupBy(*keys, "__slot")
+        .agg(
+            F.any_value("n").alias("n"),
+            F.count_if(v.isNull()).alias("below"),
+            F.count(v).alias("m"),
+            F.min(v).alias("low"),
+            F.max(v).alias("high"),
+            sketch.alias("grid"),
+        )
+    )
+    group = Window.partitionBy(*keys)
+    inside = F.sum("m").over(group)
+    summed = sketches.select(
+        *keys,
+        F.coalesce(F.max("n").over(group), inside).alias("n"),
+        F.sum("below").over(group).alias("below"),
+        F.min("low").over(group).alias("low"),
+        F.max("high").over(group).alias("high"),
+        (inside / grid).alias("step"),
+        (inside / ACCURACY + F.count(F.lit(1)).over(group) + 1).alias("off"),
+        (F.col("m") / grid).alias("weight"),
+        "grid",
+    )
+    points = summed.withColumn("point", F.explode_outer("grid")).drop("grid")
+    upto = Window.partitionBy(*keys).orderBy("point")
+    return points.withColumn("reached", F.sum("weight").over(upto))
+
+
+def _bracket(mine: Column, first: Column, last: Column, dtype: T.DataType) -> Column:
+    """The tightest points that surely hold the values at two ranks between them."""
+    point, reached, off = F.col("point"), F.col("reached"), F.col("off")
+    low, high = F.min(F.when(mine, F.col("low"))), F.max(F.when(mine, F.col("high")))
+    under = F.max(F.when(mine & (reached + off + F.col("step") <= first), point))
+    over = F.min(F.when(mine & (reached - off > last), point))
+    lo, hi = F.coalesce(under, low), F.coalesce(over, high)
+    if isinstance(dtype, (T.LongType, T.DecimalType)):
+        # The sketch keeps doubles; widen by what a large integer may lose on the way.
+        lo, hi = F.greatest(low, lo - _lost(lo)), F.least(high, hi + _lost(hi))
+    return F.struct(lo.cast(dtype).alias("lo"), hi.cast(dtype).alias("hi"))
 
 
-def _edge(
-    grid: Column, low: Column, high: Column, rank: Column, n: Column, upper: bool, dtype: T.DataType
-) -> Column:
-    """Grid value surely not above (or below) the value at ``rank`` of ``n``."""
-    step = F.floor(rank * F.lit(float(GRID)) / n).cast("int")
-    if upper:
-        at = step + 2
-        edge = F.when(at > GRID, high).otherwise(F.get(grid, F.least(at, F.lit(GRID))))
-    else:
-        at = step - 1
-        edge = F.when(at < 0, low).otherwise(F.get(grid, F.greatest(at, F.lit(0))))
-    if not isinstance(dtype, (T.LongType, T.DecimalType)):
-        return edge
-    # The sketch keeps doubles; widen by what a large integer may lose on the way.
-    slack = F.ceil(F.abs(edge.cast("double")) / F.lit(float(1 << 51))).cast("bigint")
-    wide = F.least(high, edge + slack) if upper else F.greatest(low, edge - slack)
-    return wide.cast(dtype)
+def _lost(value: Column) -> Column:
+    return F.ceil(F.abs(value.cast("double")) / F.lit(float(1 << 51))).cast("bigint")
 
 
 def values_at_ranks(
@@ -78,21 +117,16 @@ def values_at_ranks(
     """
     by = list(by)
     targets = {name: [_whole(rank) for rank in ranks] for name, ranks in targets.items()}
-    if rounds is None:
-        rounds = _rounds_for(df.count())
     dtype = df.schema[value].dataType
     rows = df.select(*by, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
-    few = bool(by) and has_at_most(rows.select(*by).distinct(), BROADCAST_ROWS)
+    groups = rows.select(*by).distinct().limit(BROADCAST_ROWS + 1).count() if by else 1
+    few = groups <= BROADCAST_ROWS
+    fine = groups <= FEW_GROUPS
+    shape = (FINE_GRID, max(1, SLOTS // max(groups, 1))) if fine else (COARSE_GRID, 1)
+    if rounds is None:
+        rounds = _rounds_for(df.count(), shape[0])
     v, n = F.col("__v"), F.col("n")
 
-    def bracket(stats: dict[str, Column], ranks: Sequence[RankOf]) -> Column:
-        sketch = (stats["grid"], stats["low"], stats["high"])
-        first, last = ranks[0](n) - stats["below"], ranks[-1](n) - stats["below"]
-        return F.struct(
-            _edge(*sketch, first, stats["inside"], False, dtype).alias("lo"),
-            _edge(*sketch, last, stats["inside"], True, dtype).alias("hi"),
-        )
-
     def entries(brackets: DataFrame) -> DataFrame:
         """Per target the rows up to its bracket; below the bracket the value is null."""
         near = attach_per_group(rows, brackets, "__b", by, few)
@@ -106,55 +140,25 @@ def values_at_ranks(
             )
             for name in targets
         ]
-        return near.select(
-            *by, F.col("__b.n").alias("n"), F.explode(F.array(*per_target)).alias("e")
-        ).where(F.col("e").isNotNull()).select(*by, "n", F.col("e.target").alias("__t"), F.col("e.v").alias("__v"))
+        return (
+            near.select(*by, F.col("__b.n").alias("n"), F.explode(F.array(*per_target)).alias("e"))
+            .where(F.col("e").isNotNull())
+            .select(*by, "n", F.col("e.target").alias("__t"), F.col("e.v").alias("__v"))
+        )
 
-    whole = rows.groupBy(*by).agg(
-        F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), _grid_of(v).alias("grid")
-    )
-    seen = {
-        "grid": F.col("grid"), "low": F.col("low"), "high": F.col("high"),
-        "below": F.lit(0), "inside": n,
-    }
-    brackets = whole.select(
-        *by,
-        F.struct("n", *[bracket(seen, ranks).alias(name) for name, ranks in targets.items()]).alias("__b"),
-    )
+    def brackets_from(points: DataFrame, per_target: bool) -> DataFrame:
+        found = []
+        for name, ranks in targets.items():
+            mine = (F.col("__t") == name) if per_target else F.lit(True)
+            first, last = ranks[0](n) - F.col("below"), ranks[-1](n) - F.col("below")
+            found.append(_bracket(mine, first, last, dtype).alias(name))
+        return points.groupBy(*by).agg(F.struct(F.max("n").alias("n"), *found).alias("__b"))
+
+    # One set of points serves all targets at first; later each has its own.
+    everything = rows.withColumn("n", F.lit(None).cast("bigint"))
+    brackets = brackets_from(_points(everything, by, *shape), per_target=False)
     for _ in range(rounds - 1):
-        per_target = entries(brackets).groupBy(*by, "__t").agg(
-            F.any_value("n").alias("n"),
-            F.count_if(v.isNull()).alias("below"),
-            F.count(v).alias("inside"),
-            F.min(v).alias("low"),
-            F.max(v).alias("high"),
-            _grid_of(v).alias("grid"),
-        )
-        brackets = (
-            per_target.groupBy(*by)
-            .agg(
-                F.max("n").alias("n"),
-                *[
-                    F.max(F.when(F.col("__t") == name, F.struct("below", "inside", "low", "high", "grid"))).alias(
-                        f"__{name}"
-                    )
-                    for name in targets
-                ],
-            )
-            .select(
-                *by,
-                F.struct(
-                    "n",
-                    *[
-                        bracket(
-                            {f: F.col(f"__{name}.{f}") for f in ("below", "inside", "low", "high", "grid")},
-                            ranks,
-                        ).alias(name)
-                        for name, ranks in targets.items()
-                    ],
-                ).alias("__b"),
-            )
-        )
+        brackets = brackets_from(_points(entries(brackets), [*by, "__t"], *shape), per_target=True)
 
     running = Window.partitionBy(*by, "__t").orderBy(v.asc_nulls_first())
     reached = (
@@ -173,7 +177,7 @@ def values_at_ranks(
     def checked(name: str, i: int, rank: RankOf) -> Column:
         r, found = rank(n), F.col(f"__{name}_{i}")
         return (
-            F.when((r < 0) | (r >= n), F.lit(None).cast(dtype))
+            F.when(n.isNull() | r.isNull() | (r < 0) | (r >= n), F.lit(None).cast(dtype))
             .when((found["before"] <= r) & found["hit"].isNotNull(), found["hit"])
             .otherwise(F.raise_error(F.lit("rank bracket missed its value")).cast(dtype))
         )
@@ -208,10 +212,20 @@ def median_by(df: DataFrame, value: str, by: Sequence[str] = (), rounds: int | N
     )
 
 
-def value_at_rank(df: DataFrame, value: str, rank: RankOf) -> Column:
-    """The exact value at one rank of the whole table, as a scalar subquery."""
-    found = values_at_ranks(df, value, {"wanted": [rank]})
-    return found.select(F.col("wanted")[0]).scalar()
+def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[RankOf]) -> list[Column]:
+    """The exact keys at some ranks of the whole table, as constants.
+
+    The keys are looked up now, and only they come back. As constants they are
+    found once however often the result is used, and a filter on them reaches
+    the file reader. A rank outside the table gives a null.
+    """
+    kind = df.schema[key].dataType
+    targets = {f"at{i}": [rank] for i, rank in enumerate(ranks)}
+    found = values_at_ranks(df, key, targets)
+    as_text = isinstance(kind, T.DatetimeType)  # exact, whatever the zone of this process
+    values = [F.col(name)[0].cast("string") if as_text else F.col(name)[0] for name in targets]
+    row = found.select(*[v.alias(name) for v, name in zip(values, targets)]).first()
+    return [F.lit(value).cast(kind) for value in (row or [None] * len(ranks))]
 
 
 def first_rows(df: DataFrame, key: str, rows: int | RankOf) -> DataFrame:
@@ -223,7 +237,7 @@ def first_rows(df: DataFrame, key: str, rows: int | RankOf) -> DataFrame:
     if isinstance(rows, int) and rows <= TOP_ROWS:
         return df.orderBy(key).limit(rows)
     wanted = (lambda n: F.lit(rows)) if isinstance(rows, int) else rows
-    limit = value_at_rank(df, key, lambda n: F.least(wanted(n), n) - 1)
+    (limit,) = keys_at_ranks(df, key, [lambda n: F.least(wanted(n), n) - 1])
     return df.where(F.col(key) <= limit)
 
 
@@ -233,11 +247,7 @@ def slice_rows(df: DataFrame, key: str, start: int | RankOf, stop: int | RankOf)
         return df.orderBy(key).offset(start).limit(max(stop - start, 0))
     begin = (lambda n: F.lit(start)) if isinstance(start, int) else start
     end = (lambda n: F.lit(stop)) if isinstance(stop, int) else stop
-    ends = values_at_ranks(
-        df, key, {"lowest": [begin], "highest": [lambda n: F.least(end(n), n) - 1]}
-    )
-    lowest = ends.select(F.col("lowest")[0]).scalar()
-    highest = ends.select(F.col("highest")[0]).scalar()
+    lowest, highest = keys_at_ranks(df, key, [begin, lambda n: F.least(end(n), n) - 1])
     return df.where((F.col(key) >= lowest) & (F.col(key) <= highest))
 
 

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregate.operators.ranks import RankOf, value_at_rank
-from faregate.operators.shares import row_total_of
+from faregate.operators.ranks import RankOf, keys_at_ranks
 
 COPIES_PER_CHUNK = 1_000
 
@@ -28,19 +27,19 @@ def replicate_rows(
     the chunks shuffled, so that no task unfolds a whole row's copies.
     """
     wanted = (lambda n: F.lit(target)) if isinstance(target, int) else target
-    n = row_total_of(df)
-    last_full = value_at_rank(df, key, lambda rows: F.pmod(wanted(rows), rows) - 1)
-    whole = F.floor(wanted(F.col("__n")) / F.col("__n")).cast("bigint")
-    extra = F.coalesce((F.col(key) <= F.col("__last")).cast("bigint"), F.lit(0))
+    n = df.count()
+    if n == 0:
+        return df.withColumn(copy_column, F.lit(0).cast("bigint"))
+    total = wanted(F.lit(n).cast("bigint"))
+    (last_full,) = keys_at_ranks(df, key, [lambda rows: F.pmod(wanted(rows), rows) - 1])
+    extra = F.coalesce((F.col(key) <= last_full).cast("bigint"), F.lit(0))
     step = F.lit(COPIES_PER_CHUNK).cast("bigint")
-    counted = (
-        df.withColumns({"__n": n, "__last": last_full})
-        .withColumn("__copies", whole + extra)
-        .where(F.col("__copies") > 0)
-        .drop("__n", "__last")
-    )
+    counted = df.withColumn(
+        "__copies", F.floor(total / F.lit(n)).cast("bigint") + extra
+    ).where(F.col("__copies") > 0)
+    last_copy = F.greatest(F.col("__copies") - 1, F.lit(0))
     chunks = counted.withColumn(
-        "__from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__copies") - 1, step))
+        "__from", F.explode(F.sequence(F.lit(0).cast("bigint"), last_copy, step))
     )
     inside = F.sequence(
         F.col("__from"), F.least(F.col("__from") + step, F.col("__copies")) - 1

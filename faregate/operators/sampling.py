@@ -25,8 +25,8 @@ def share_of_rows(rate: float) -> Callable[[Column], Column]:
     return lambda n: F.floor(n * F.lit(rate)).cast("bigint")
 
 
-def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> Column:
-    """For each pick the largest draw still chosen, as one struct (a scalar subquery).
+def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> dict[str, str]:
+    """For each pick the largest draw still chosen; only these texts come back.
 
     Draws are uniform, so the wanted draw lies within a few standard deviations
     of ``size / n``. One pass over the key column counts what lies below that
@@ -86,17 +86,18 @@ def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> Column:
         known = F.when(size == 0, F.lit("")).when(F.col(name).isNotNull(), F.col(name))
         return known.otherwise(missed).alias(name)
 
-    return found.select(F.struct(*[limit(name) for name in picks])).scalar()
+    return found.select(*[limit(name) for name in picks]).first().asDict()
 
 
 def with_picks(df: DataFrame, key: str, picks: dict[str, Pick]) -> DataFrame:
     """Add one boolean column per pick; exactly ``size`` rows are true in each."""
-    flagged = df.withColumn("__limits", pick_limits(df, key, picks))
-    flags = {
-        name: F.coalesce(digest.draw(F.col(key), pick.salt) <= F.col(f"__limits.{name}"), F.lit(False))
-        for name, pick in picks.items()
-    }
-    return flagged.withColumns(flags).drop("__limits")
+    limits = pick_limits(df, key, picks)
+    return df.withColumns(
+        {
+            name: F.coalesce(digest.draw(F.col(key), pick.salt) <= F.lit(limits[name]), F.lit(False))
+            for name, pick in picks.items()
+        }
+    )
 
 
 def sample_exact(

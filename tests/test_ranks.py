@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import random
 import statistics
 
@@ -64,13 +65,34 @@ def test_a_large_head_is_a_pushed_filter_not_a_sort(spark, out):
     spark.range(50_000).write.parquet(out)
     df = ranks.first_rows(spark.read.parquet(out), "id", 20_000)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    main = plan.split("Subquery")[0]
-    assert "TakeOrdered" not in main and "Exchange" not in main
+    assert "TakeOrdered" not in plan and "Exchange" not in plan
+    assert "PushedFilters: [IsNotNull(id), LessThanOrEqual(id,19999)]" in plan
     assert df.count() == 20_000
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_time_keys_in_any_session_zone(spark, zone):
+    start = dt.datetime(2024, 3, 10, 1, 0, 0, 1)
+    times = [start + dt.timedelta(minutes=i) for i in range(200)]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+        got = ranks.slice_rows(df, "t", lambda n: n / 4, lambda n: n / 2)
+        assert sorted(r[0] for r in got.collect()) == times[50:100]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_rounds_grow_with_the_table():
-    assert [ranks._rounds_for(n) for n in (10**6, 10**9, 10**12)] == [1, 2, 3]
+    assert [ranks._rounds_for(n, ranks.FINE_GRID) for n in (10**6, 10**9, 10**12)] == [1, 2, 3]
+
+
+def test_more_groups_than_the_fine_grid_serves(spark):
+    rng = random.Random(5)
+    groups = {f"g{i:04d}": [rng.random() for _ in range(rng.randrange(1, 6))] for i in range(1_200)}
+    groups["hot"] = [rng.random() for _ in range(4_000)]
+    got = {r["g"]: r["median"] for r in ranks.median_by(frame(spark, groups), "v", ["g"], 2).collect()}
+    assert got == {g: statistics.median(v) for g, v in groups.items()}
 
 
 def test_shuffled_keeps_all_rows(spark):
