@@ -24,16 +24,6 @@ def threshold(probability: float) -> str:
     return "g" if step >= DRAW_SPAN else f"{max(step, 0):08x}"
 
 
-def threshold_of(probability: Column) -> Column:
-    """Column form of :func:`threshold`."""
-    step = F.floor(probability * F.lit(float(DRAW_SPAN)))
-    return (
-        F.when(step >= F.lit(DRAW_SPAN), F.lit("g"))
-        .when(step <= 0, F.lit("00000000"))
-        .otherwise(F.lower(F.lpad(F.hex(step), 8, "0")))
-    )
-
-
 def weighted_label(
     key: Column, salt: str, labels: list[str], weights: list[float]
 ) -> Column:

@@ -55,7 +55,7 @@ def _picks() -> dict[str, Pick]:
     }
     dated = share_of_rows(DEFECT_RATES["out_of_range_date"])
     # Same salt, half the rows: these are the first half of the misdated ones.
-    picks["__early_date"] = Pick("out_of_range_date", lambda n: F.floor(dated(n) / 2).cast("bigint"))
+    picks["__early_date"] = Pick("out_of_range_date", lambda n: dated(n) // 2)
     return picks
 
 
@@ -100,7 +100,7 @@ def injected_counts(clean: DataFrame) -> DataFrame:
     """``metric, injected`` for each defect class, from the row count alone."""
     n = F.col("n")
     entries = [
-        F.struct(F.lit(name).alias("metric"), share_of_rows(rate)(n).alias("injected"))
+        F.struct(F.lit(name).alias("metric"), F.floor(n * rate).cast("bigint").alias("injected"))
         for name, rate in DEFECT_RATES.items()
     ]
     return (

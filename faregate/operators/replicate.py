@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faregate.operators.ranks import RankOf, keys_at_ranks
+from faregate.operators.ranks import keys_at_ranks
 
 COPIES_PER_CHUNK = 1_000
 
@@ -15,7 +17,7 @@ COPIES_PER_CHUNK = 1_000
 def replicate_rows(
     df: DataFrame,
     key: str,
-    target: int | RankOf,
+    target: int | Callable[[int], int],
     copy_column: str = "copy",
     spread: bool = False,
 ) -> DataFrame:
@@ -26,40 +28,36 @@ def replicate_rows(
     many copies) the copies of a row are first planned in chunks of 1,000 and
     the chunks shuffled, so that no task unfolds a whole row's copies.
     """
-    wanted = (lambda n: F.lit(target)) if isinstance(target, int) else target
     n = df.count()
-    if n == 0:
-        return df.withColumn(copy_column, F.lit(0).cast("bigint"))
-    total = wanted(F.lit(n).cast("bigint"))
-    (last_full,) = keys_at_ranks(df, key, [lambda rows: F.pmod(wanted(rows), rows) - 1])
-    extra = F.coalesce((F.col(key) <= last_full).cast("bigint"), F.lit(0))
+    whole, partial = divmod(target if isinstance(target, int) else target(n), max(n, 1))
+    copies = F.lit(whole).cast("bigint")
+    if partial and n:
+        (last,) = keys_at_ranks(df, key, [lambda _: F.lit(partial - 1)])
+        copies = copies + (F.col(key) <= last).cast("bigint")
     step = F.lit(COPIES_PER_CHUNK).cast("bigint")
-    counted = df.withColumn(
-        "__copies", F.floor(total / F.lit(n)).cast("bigint") + extra
-    ).where(F.col("__copies") > 0)
     last_copy = F.greatest(F.col("__copies") - 1, F.lit(0))
-    chunks = counted.withColumn(
-        "__from", F.explode(F.sequence(F.lit(0).cast("bigint"), last_copy, step))
+    chunks = (
+        df.withColumn("__copies", copies)
+        .where(F.col("__copies") > 0)
+        .withColumn("__from", F.explode(F.sequence(F.lit(0).cast("bigint"), last_copy, step)))
     )
+    if spread:
+        chunks = chunks.repartition(F.col(key), F.col("__from"))
     inside = F.sequence(
         F.col("__from"), F.least(F.col("__from") + step, F.col("__copies")) - 1
     )
-    if spread:
-        chunks = chunks.repartition(F.col(key), F.col("__from"))
     return chunks.withColumn(copy_column, F.explode(inside)).drop("__copies", "__from")
 
 
-def csv_row_bytes(df: DataFrame) -> Column:
-    """Average length of a row as CSV text with its line end, as a scalar subquery."""
+def csv_row_bytes(df: DataFrame) -> float:
+    """Average length of a row as CSV text with its line end."""
     line = F.to_csv(F.struct(*[F.col(name) for name in df.columns]))
-    return df.agg(F.avg(F.octet_length(line) + 1)).scalar()
+    return df.agg(F.avg(F.octet_length(line) + 1)).first()[0] or 1.0
 
 
 def replicate_to_csv_bytes(df: DataFrame, key: str, target_bytes: int) -> DataFrame:
     """Repeat rows until their CSV text reaches about ``target_bytes``."""
-    per_row = csv_row_bytes(df)
-    rows = F.ceil(F.lit(float(target_bytes)) / per_row).cast("bigint")
-    return replicate_rows(df, key, lambda n: rows)
+    return replicate_rows(df, key, math.ceil(target_bytes / csv_row_bytes(df)))
 
 
 def union_versions(*frames: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,12 +18,12 @@ class Pick:
     """``size`` rows with the smallest draws for ``salt``; size is a function of n."""
 
     salt: str
-    size: Callable[[Column], Column]
+    size: Callable[[int], int]
 
 
-def share_of_rows(rate: float) -> Callable[[Column], Column]:
-    """``int(n * rate)``, cut off as the reference counts are."""
-    return lambda n: F.floor(n * F.lit(rate)).cast("bigint")
+def share_of_rows(rate: float) -> Callable[[int], int]:
+    """A share of the rows as a whole number, cut off."""
+    return lambda n: int(n * rate)
 
 
 def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> dict[str, str]:
@@ -34,59 +35,42 @@ def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> dict[str, st
     which are then ranked. Every pick is found in the same pass. A band that
     misses (only possible when the key is not unique) raises an error.
     """
-    n = F.col("n")
-    bands = []
-    for name, pick in picks.items():
-        size = pick.size(n)
-        reach = (F.lit(8.0) * F.sqrt(size + 1) + F.lit(32.0)) / n
-        bands.append(
-            F.struct(
-                size.alias("size"),
-                digest.threshold_of(size / n - reach).alias("low"),
-                digest.threshold_of(size / n + reach).alias("high"),
-            ).alias(name)
-        )
-    band = (
-        df.agg(F.count(F.lit(1)).alias("n")).where(n > 0).select(F.struct(*bands)).scalar()
-    )
-    # Draws are computed once per row, below the explode; the bands once per query.
+    n = df.count()
+    sizes = {name: min(pick.size(n), n) for name, pick in picks.items()}
+    reach = {name: (8.0 * math.sqrt(size + 1) + 32.0) / max(n, 1) for name, size in sizes.items()}
+    # Draws are computed once per row, below the explode.
     drawn = df.select(
-        band.alias("__band"),
-        *[digest.draw(F.col(key), pick.salt).alias(name) for name, pick in picks.items()],
+        *[digest.draw(F.col(key), pick.salt).alias(name) for name, pick in picks.items()]
     )
     entries = [
         F.when(
-            F.col(name) < F.col(f"__band.{name}.high"),
+            F.col(name) < digest.threshold(size / max(n, 1) + reach[name]),
             F.struct(
                 F.lit(name).alias("pick"),
-                F.col(f"__band.{name}.size").alias("size"),
-                F.when(F.col(name) >= F.col(f"__band.{name}.low"), F.col(name)).alias("drawn"),
+                F.when(
+                    F.col(name) >= digest.threshold(size / max(n, 1) - reach[name]), F.col(name)
+                ).alias("drawn"),
             ),
         )
-        for name in picks
+        for name, size in sizes.items()
     ]
     counted = (
         drawn.select(F.explode(F.array(*entries)).alias("e"))
         .where(F.col("e").isNotNull())
-        .select("e.pick", "e.size", "e.drawn")
-        .groupBy("pick", "size", "drawn")
+        .select("e.pick", "e.drawn")
+        .groupBy("pick", "drawn")
         .agg(F.count(F.lit(1)).alias("c"))
     )
     running = Window.partitionBy("pick").orderBy(F.col("drawn").asc_nulls_first())
-    last = F.when(F.col("cum") == F.col("size"), F.col("drawn"))
-    found = (
-        counted.withColumn("cum", F.sum("c").over(running))
-        .agg(*[F.max(F.when(F.col("pick") == name, last)).alias(name) for name in picks])
-        .withColumn("__band", band)
-    )
-    missed = F.raise_error(F.lit("exact pick not found: the key is not unique")).cast("string")
-
-    def limit(name: str) -> Column:
-        size = F.coalesce(F.col(f"__band.{name}.size"), F.lit(0))
-        known = F.when(size == 0, F.lit("")).when(F.col(name).isNotNull(), F.col(name))
-        return known.otherwise(missed).alias(name)
-
-    return found.select(*[limit(name) for name in picks]).first().asDict()
+    last = [
+        F.max(F.when((F.col("pick") == name) & (F.col("cum") == size), F.col("drawn"))).alias(name)
+        for name, size in sizes.items()
+    ]
+    found = counted.withColumn("cum", F.sum("c").over(running)).agg(*last).first().asDict()
+    missed = [name for name, size in sizes.items() if size > 0 and found[name] is None]
+    if missed:
+        raise ValueError(f"exact picks {missed} not found: the key is not unique")
+    return {name: found[name] or "" for name in picks}
 
 
 def with_picks(df: DataFrame, key: str, picks: dict[str, Pick]) -> DataFrame:
@@ -101,10 +85,10 @@ def with_picks(df: DataFrame, key: str, picks: dict[str, Pick]) -> DataFrame:
 
 
 def sample_exact(
-    df: DataFrame, key: str, salt: str, size: int | Callable[[Column], Column]
+    df: DataFrame, key: str, salt: str, size: int | Callable[[int], int]
 ) -> DataFrame:
     """Exactly ``size`` rows without replacement, the same ones on every run."""
-    wanted = (lambda n: F.least(F.lit(size), n)) if isinstance(size, int) else size
+    wanted = (lambda n: size) if isinstance(size, int) else size
     return with_picks(df, key, {"__picked": Pick(salt, wanted)}).where("__picked").drop("__picked")
 
 

@@ -309,7 +309,7 @@ def head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    return replicate.replicate_rows(events, "event_id", lambda n: F.floor(n * 2.5).cast("bigint"))
+    return replicate.replicate_rows(events, "event_id", lambda n: n * 5 // 2)
 
 
 def union_drift(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,10 +74,9 @@ def test_text_parts(spark):
     assert [tuple(r) for r in got] == [("collect", "first", "Zone 007"), ("count", "", "Zone 007"), (None, None, "Zone 265")]
 
 
-def test_threshold_and_its_column_form_agree(spark):
-    for p in (0.0, 1e-9, 0.25, 0.902, 1.0, 1.5, -0.1):
-        column = one(spark.range(1).select(digest.threshold_of(F.lit(float(p)))))[0]
-        assert column == digest.threshold(p), p
+def test_thresholds_are_hex_texts():
+    wanted = {0.0: "00000000", 0.25: "40000000", 1.0: "g", 1.5: "g", -0.1: "00000000"}
+    assert {p: digest.threshold(p) for p in wanted} == wanted
 
 
 def test_draws_are_close_to_their_probability(spark):
