@@ -6,23 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faregate.operators.shares import hot_keys
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``side`` for broadcast only after counting that it is small.
+def broadcast_if_small(
+    side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark ``side`` for broadcast only after measuring that it is small.
 
-    The count stops at ``max_rows + 1`` rows. A larger side is returned as it
-    is: Spark then picks a shuffled join, and its skew handling applies.
+    The measuring stops at ``max_rows + 1`` rows; bytes are eight per column
+    and what the texts hold. A larger side is returned as it is: Spark then
+    picks a shuffled join, and its skew handling applies.
     """
-    return F.broadcast(side) if has_at_most(side, max_rows) else side
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    texts = [f.name for f in side.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    held = F.lit(8 * len(side.columns))
+    for name in texts:
+        held = held + F.coalesce(F.octet_length(name), F.lit(0))
+    rows, size = side.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(held.cast("bigint"))).first()
+    return F.broadcast(side) if rows <= max_rows and (size or 0) <= max_bytes else side
 
 
 def attach_per_group(

@@ -1 +1 @@
-"""The reference has no streaming operator; nothing is added here beyond it."""
+"""No streaming operator is called for; nothing is added here."""

@@ -48,7 +48,9 @@ def test_a_large_side_is_not_broadcast(sides):
     fact, dim = sides
     hinted = joins.broadcast_if_small(dim, 50)._jdf.queryExecution().logical().toString()
     plain = joins.broadcast_if_small(dim, 49)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
+    wide = dim.withColumn("text", F.repeat(F.lit("x"), 1_000))
+    heavy = joins.broadcast_if_small(wide, 50, 40_000)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted and "broadcast" not in plain and "broadcast" not in heavy
 
 
 @pytest.mark.parametrize("strategy", ["auto", "hash", "merge"])
