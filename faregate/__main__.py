@@ -15,13 +15,15 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from faregate.operators import shares
+from faregate.operators import layout, shares
 from faregate.plans import build
-from faregate.session import build_session
+from faregate.session import build_session, size_shuffles
 from faregate.sources import eventlog
 
 
 def _build(spark: SparkSession, args: argparse.Namespace) -> int:
+    seed_bytes = layout.listing(spark, args.seed_file).agg(F.sum("length")).first()[0]
+    size_shuffles(spark, seed_bytes or 0)
     zones = build.load_zones(spark, args.zones_file)
     trips = build.load_trips(spark, args.seed_file)
     manifest = build.build(spark, args.out, trips, zones, args.profile, args.force)

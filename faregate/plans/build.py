@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,7 +79,8 @@ def load_zones(spark: SparkSession, path: str | None) -> DataFrame:
     if path:
         try:
             return normalise.check_dimension(tables.read_csv(spark, path, schemas.ZONE_SCHEMA))
-        except Exception as error:  # an HTML page named .csv, a missing file, a short file
+        except (PySparkException, normalise.ShapeError) as error:
+            # a missing file, an HTML page named .csv, a file cut short
             print(f"zone lookup {path} not usable ({str(error)[:200]}); using the fallback")
     return sampling.fallback_zones(spark)
 
@@ -101,7 +103,7 @@ def curated_table(trips: DataFrame, zones: DataFrame, path: str) -> DataFrame:
 def is_built(spark: SparkSession, out: str) -> bool:
     try:
         return spark.read.json(f"{out}/manifest").limit(1).count() == 1
-    except Exception:  # the folder is not there
+    except AnalysisException:  # the folder is not there
         return False
 
 

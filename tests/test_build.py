@@ -20,10 +20,13 @@ def built(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("build"))
     seed = f"{out}-seed"
     layout.write_parquet(trips.trips(spark, SF).withColumnRenamed("airport_fee", "Airport_fee"), seed)
-    raw = build.load_trips(spark, seed)
-    zones = build.load_zones(spark, None)
-    manifest = {r["metric"]: r for r in build.build(spark, out, raw, zones, SMALL).collect()}
-    return out, manifest, raw, zones
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setitem(build.PROFILES, "tiny", SMALL)
+        width = spark.conf.get("spark.sql.shuffle.partitions")
+        assert cli.main(["build", "--seed-file", seed, "--out", out, "--profile", "tiny"]) == 0
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    manifest = {r["metric"]: r for r in spark.read.json(f"{out}/manifest").collect()}
+    return out, manifest, build.load_trips(spark, seed), build.load_zones(spark, None)
 
 
 def test_every_layout_has_its_rows(spark, built):

@@ -30,6 +30,14 @@ def test_grouped_median_equals_python(spark, rounds):
     assert got == {g: (len(v), statistics.median(v)) for g, v in groups.items()}
 
 
+def test_groups_too_many_to_broadcast_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "BROADCAST_ROWS", 3)
+    groups = {f"g{i}": [float(j % 7) for j in range(i * 3 + 1)] for i in range(20)}
+    found = ranks.median_by(frame(spark, groups), "v", ["g"], 2)
+    got = {r["g"]: r["median"] for r in found.collect()}
+    assert got == {g: statistics.median(v) for g, v in groups.items()}
+
+
 def test_missing_group_key_and_missing_values(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None), ("b", 2.0), ("b", None)], "g string, v double")
     got = {r["g"]: (r["n"], r["median"]) for r in ranks.median_by(df, "v", ["g"]).collect()}

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from faregate.session import SQL_PROFILES, shared_folder, variant_session
+from faregate.session import SQL_PROFILES, shared_folder, size_shuffles, variant_session
 
 
 def test_variants_do_not_change_the_callers_session(spark):
@@ -40,3 +40,9 @@ def test_a_local_folder_only_where_none_is_set():
     assert shared_folder(session).startswith("file:/ckpt/app/faregate-") and not made
     session, made = fake(None, None)
     assert shared_folder(session).startswith(made[0])
+
+
+def test_shuffle_width_follows_the_input(spark):
+    sizing = variant_session(spark, {})
+    assert [size_shuffles(sizing, n) for n in (0, 10**12, 10**14)] == [200, 3725, 100_000]
+    assert sizing.conf.get("spark.sql.shuffle.partitions") == "100000"
