@@ -5,8 +5,8 @@ keeps every distinct value of a group in one task. Both grow with the data.
 Here approximate quantiles, whose rank error is bounded, bracket the wanted
 rank; the next pass looks only inside the bracket; a last pass counts what is
 left and finds the exact value. Each round keeps about 0.2 % of a group's rows,
-and there are as many rounds as the row count needs to leave at most
-``RANKED_ROWS`` of them; all else is counted inside the scan's own tasks. The
+and there are as many rounds (none for a small table) as the row count needs to
+leave at most ``RANKED_ROWS`` of them; all else is counted inside the scan's own tasks. The
 sketches of all groups are merged in ``SLOTS`` tasks, a large group's in many.
 """
 
@@ -36,7 +36,7 @@ def _whole(rank: RankOf) -> RankOf:
 
 def _rounds_for(rows: int, grid: int) -> int:
     kept = 2.5 / grid  # two quantile steps and the sketch error on both sides
-    rounds, left = 1, rows * kept
+    rounds, left = 0, float(rows)
     while left > RANKED_ROWS:
         rounds, left = rounds + 1, left * kept
     return rounds
@@ -154,9 +154,14 @@ def values_at_ranks(
             found.append(_bracket(mine, first, last, dtype).alias(name))
         return points.groupBy(*by).agg(F.struct(F.max("n").alias("n"), *found).alias("__b"))
 
-    # One set of points serves all targets at first; later each has its own.
-    everything = rows.withColumn("n", F.lit(None).cast("bigint"))
-    brackets = brackets_from(_points(everything, by, *shape), per_target=False)
+    if rounds == 0:  # few enough rows to rank them all
+        whole = F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))
+        brackets = rows.groupBy(*by).agg(
+            F.struct(F.count(v).alias("n"), *[whole.alias(name) for name in targets]).alias("__b")
+        )
+    else:  # one set of points serves all targets at first; later each has its own
+        everything = rows.withColumn("n", F.lit(None).cast("bigint"))
+        brackets = brackets_from(_points(everything, by, *shape), per_target=False)
     for _ in range(rounds - 1):
         brackets = brackets_from(_points(entries(brackets), [*by, "__t"], *shape), per_target=True)
 
