@@ -6,11 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from faregate.plans.catalog import TABLES
+from faregate.plans.catalog import QUERIES, TABLES
+from faregate.plans.oracle import ORACLE
 from tests.conftest import SF
 from tools.check_oracle import rows_of
 
-ORACLE = entry.oracle_sql()
 ROWS_ONLY = {"fingerprint", "layout_sizes"}
 
 
@@ -23,7 +23,8 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
