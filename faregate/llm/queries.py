@@ -3,16 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from faregate.llm import packing
+from faregate.llm import exact_dedup, minhash, packing
 from faregate.llm.common import table
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return marked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
+    "op5_minhash": op5_minhash,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": r"""
+        WITH entries AS (
+            SELECT doc_id, length(coalesce(text, '')) AS chars,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+        FROM (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
+                     count(*) OVER (PARTITION BY text_sha256) AS group_size
+              FROM entries)
+    """,
+}
