@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregate.llm import exact_dedup, minhash, packing
+from faregate.llm import exact_dedup, minhash, packing, warc
 from faregate.llm.common import table
+from faregate.session import shared_folder
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+
+    def page(name: str):
+        return F.regexp_extract(name, "^urn:x-page:(-?[0-9]+)$", 1).try_cast("bigint")
+
+    return warc.read_archives(spark, path, with_payload=False).select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+        "error",
+    )
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +41,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_minhash": op5_minhash,
     "op10_best_fit_packing": op10_best_fit_packing,
