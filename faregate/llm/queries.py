@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregate.llm import exact_dedup, minhash, packing, warc
+from faregate.llm import exact_dedup, language, minhash, packing, quality, warc
 from faregate.llm.common import table
 from faregate.session import shared_folder
 
@@ -31,11 +31,19 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return marked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -43,7 +51,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op5_minhash": op5_minhash,
+    "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE: dict[str, str] = {
