@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregate.llm import exact_dedup, language, minhash, packing, quality, warc
+from faregate.llm import exact_dedup, fingerprints, language, minhash, mixing, packing, quality, secrets, warc
 from faregate.llm.common import table
 from faregate.session import shared_folder
 
@@ -40,6 +40,30 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_probe(table(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return scanned.select(
+        F.col("id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.concat("base", "added")).alias("spans"),
+    )
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -53,6 +77,9 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
     "op5_minhash": op5_minhash,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_secrets": op7_secrets,
+    "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
