@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregate.llm import exact_dedup, fingerprints, language, minhash, mixing, packing, quality, secrets, warc
+from faregate.llm import exact_dedup, fingerprints, language, minhash, mixing, packing, quality, secrets, suffix_dedup, warc
 from faregate.llm.common import table
 from faregate.session import shared_folder
 
@@ -35,6 +35,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return marked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -76,6 +80,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_minhash": op5_minhash,
     "op6_fingerprints": op6_fingerprints,
     "op7_secrets": op7_secrets,
