@@ -40,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     now = written(links.select("u", "v").distinct())
     state = _state(now)
-    while True:
+    while state[0]:
         now = written(_small_star(_large_star(now)).distinct())
         following = _state(now)
         if following == state:

@@ -17,8 +17,8 @@ paired with the bucket's smallest class. After each round the links' components
 are found, and a bucket whose members are all connected is closed. In a bucket
 that is still open, some members outside its largest component are paired with
 all members of other components; they are then done with and leave the bucket.
-Rounds go on until every bucket is closed, so no link between two components is
-lost and nothing is capped.
+Rounds go on, with four times as many such members in each, until every bucket
+is closed, so no link between two components is lost and nothing is capped.
 
 Null and empty texts, and texts without a word, have an empty set and no link.
 A text of fewer words is one shingle. Null ids are not counted as smallest id
@@ -42,7 +42,7 @@ from faregate.operators.layout import written
 
 BANDS, BAND_ROWS, MINIMA, LOW_BITS = 25, 5, 128, 4
 SLACK = 0.2  # six standard deviations of the estimate
-LEADERS = 4  # members taken per open bucket and round
+LEADERS = 4  # members taken per open bucket in the second round; four times as many in each one after
 MULTIPLIERS = mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
 FOLDS = 0x1111111111111111  # the lowest bit of each four
 
@@ -114,7 +114,7 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs ``u, v`` whose full shingle sets are at least ``percent`` alike."""
+    """Labels ``lu, lv`` of the pairs ``u, v`` whose full shingle sets are at least ``percent`` alike."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,35 +128,46 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Dat
                     shared = len(np.intersect1d(a, b, assume_unique=True))
                     linked[i + k] = 100 * shared >= percent * (len(a) + len(b) - shared)
             mask = pa.array(linked)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["lu", "lv"])
 
     one = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     two = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     return (
-        pairs.join(one, "u").join(two, "v").select("u", "v", "text_u", "text_v").mapInArrow(check, "u binary, v binary")
+        pairs.join(one, "u")
+        .join(two, "v")
+        .select("lu", "lv", "text_u", "text_v")
+        .mapInArrow(check, "lu binary, lv binary")
     )
 
 
-def _pair(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+def _pairs(leaders: DataFrame) -> DataFrame:
+    """Rows of ``node, label, leader, leader_label`` as pairs ``u, v`` in one order, with their labels."""
+    first = F.col("node") < F.col("leader")
+    one, two = F.struct("node", "label"), F.struct(F.col("leader").alias("node"), F.col("leader_label").alias("label"))
+    both = leaders.select(F.when(first, one).otherwise(two).alias("a"), F.when(first, two).otherwise(one).alias("b"))
+    return both.select(
+        F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.label").alias("lu"), F.col("b.label").alias("lv")
+    ).distinct()
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of buckets that are still open, with their components."""
+def _still_open(members: DataFrame, merged: DataFrame) -> DataFrame:
+    """Members with their labels renewed, of the buckets that hold more than one component."""
     known = written(
-        members.join(components(links), "node", "left").select(
-            "band", "node", F.coalesce("label", "node").alias("label")
+        members.join(merged.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left").select(
+            "band", "node", F.coalesce("new", "label").alias("label")
         )
     )
     open_bands = known.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
     return written(known.join(open_bands.select("band"), "band", "left_semi"))
 
 
-def _next_leaders(members: DataFrame, turn: int) -> DataFrame:
-    """Some members outside each bucket's largest component, about ``LEADERS`` per bucket and one at least."""
+def _next_leaders(members: DataFrame, turn: int, wanted: int) -> DataFrame:
+    """About ``wanted`` members outside each bucket's largest component, and one at least."""
     sizes = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
     bands = sizes.groupBy("band").agg(
-        F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("major"), F.min(F.struct("n", "label", "least")).alias("minor")
+        F.sum("n").alias("all"),
+        F.max(F.struct("n", "label")).alias("major"),
+        F.min(F.struct("n", "label", "least")).alias("minor"),
     )
     bands = bands.select(
         "band",
@@ -169,7 +180,7 @@ def _next_leaders(members: DataFrame, turn: int) -> DataFrame:
         members.join(bands, "band")
         .filter(
             (F.col("node") == F.col("sure"))
-            | ((F.col("label") != F.col("major")) & (draw * F.col("others") < LEADERS << 30))
+            | ((F.col("label") != F.col("major")) & (draw * F.col("others") < wanted << 30))
         )
         .select("band", F.col("node").alias("leader"), F.col("label").alias("leader_label"))
     )
@@ -206,29 +217,29 @@ def near_duplicates(
         two = packed.select(F.col("node").alias("v"), F.col("packed").alias("b"))
         return pairs.join(one, "u").join(two, "v").filter(estimate(F.col("a"), F.col("b")) >= percent / 100 - SLACK)
 
-    pairs = members.filter("node <> leader").select(*_pair("node", "leader")).distinct()
-    tested = written(likely(pairs).select("u", "v"))
-    links = written(confirm(tested, texts, percent, width))
-    members = members.filter("node <> leader").select("band", "node")
+    star = members.filter("node <> leader").withColumns({"label": F.col("node"), "leader_label": F.col("leader")})
+    now = written(likely(_pairs(star)).select("u", "v", "lu", "lv"))
+    tested = now.select("u", "v")
+    merges = []
+    left = members.filter("node <> leader").select("band", "node", F.col("node").alias("label"))
     turn = 0
     while True:
-        left = _labelled(members, links)
+        linked = confirm(now, texts, percent, width)
+        merges.append(components(linked.select(F.col("lu").alias("u"), F.col("lv").alias("v"))))
+        left = _still_open(left, merges[-1])
         if left.isEmpty():
             break
+        chosen = written(_next_leaders(left, turn, LEADERS << (2 * turn)))
+        pairs = _pairs(left.join(chosen, "band").filter("label <> leader_label"))
+        now = written(likely(pairs.join(tested, ["u", "v"], "left_anti")).select("u", "v", "lu", "lv"))
+        tested = tested.unionByName(now.select("u", "v"))
+        left = left.join(chosen.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti")
         turn += 1
-        chosen = written(_next_leaders(left, turn))
-        others = left.join(chosen, "band").filter("label <> leader_label")
-        pairs = others.select(*_pair("node", "leader")).distinct().join(tested, ["u", "v"], "left_anti")
-        now = written(likely(pairs).select("u", "v"))
-        tested = tested.unionByName(now)
-        links = links.unionByName(written(confirm(now, texts, percent, width)))
-        members = left.select("band", "node").join(
-            chosen.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti"
-        )
 
-    labels = classes.join(components(links), "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"), "first"
-    )
+    labels = classes.select("node", F.col("node").alias("label"), "first")
+    for merged in merges:
+        renewed = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
+        labels = labels.join(renewed, "label", "left").select("node", F.coalesce("new", "label").alias("label"), "first")
     least = labels.groupBy("label").agg(F.min("first").alias("least"))
     by_node = labels.join(least, "label").select("node", "least")
     own = F.col("node").isNull()
