@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faregate.llm import exact_dedup, fingerprints, language, minhash, mixing, packing, quality, secrets, suffix_dedup, warc
 from faregate.llm.common import table
+from faregate.llm.oracle import ORACLE
 from faregate.session import shared_folder
 
 
@@ -88,15 +89,4 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE: dict[str, str] = {
-    "op2_exact_dedup": r"""
-        WITH entries AS (
-            SELECT doc_id, length(coalesce(text, '')) AS chars,
-                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
-            FROM documents)
-        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
-        FROM (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
-                     count(*) OVER (PARTITION BY text_sha256) AS group_size
-              FROM entries)
-    """,
-}
+__all__ = ["ORACLE", "QUERIES"]
