@@ -27,19 +27,19 @@ def _build(spark: SparkSession, args: argparse.Namespace) -> int:
     zones = build.load_zones(spark, args.zones_file)
     trips = build.load_trips(spark, args.seed_file)
     manifest = build.build(spark, args.out, trips, zones, args.profile, args.force)
-    manifest.orderBy("metric").show(50, truncate=False)
+    manifest.orderBy("metric").show(manifest.count(), truncate=False)
     return 0
 
 
 def _verify(spark: SparkSession, args: argparse.Namespace) -> int:
     if not build.is_built(spark, args.out):
-        print("FAIL: no manifest, the tables were never built")
+        print(f"FAIL: there is no finished build below {args.out}")
         return 1
     missing = build.missing_paths(spark, args.out)
     absent = missing.count()
     if absent:
         missing.orderBy("path").show(truncate=False)
-    print(f"FAIL: {absent} paths missing" if absent else "OK: all paths present")
+    print(f"FAIL: {absent} expected tables are not there" if absent else "OK: every expected table is there")
     return 1 if absent else 0
 
 
@@ -59,7 +59,7 @@ def _diagnose(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def _stages(spark: SparkSession, args: argparse.Namespace) -> int:
     report = eventlog.latest_stage_report(spark, args.event_dir).orderBy("stage")
-    report.show(1000, truncate=False)
+    report.show(report.count(), truncate=False)
     return 0
 
 
@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     make.add_argument("--seed-file", required=True)
     make.add_argument("--zones-file")
     make.add_argument("--out", required=True)
-    make.add_argument("--profile", choices=list(build.PROFILES), default="full")
+    make.add_argument("--profile", choices=list(build.PROFILES), default="whole")
     make.add_argument("--force", action="store_true")
     make.set_defaults(run=_build)
 

@@ -46,7 +46,7 @@ def row_gates(columns: DirtyColumns) -> dict[str, Column]:
         "fare_gt_10000": sure(F.col(columns.fare) > FARE_CEILING),
         "passenger_count_eq_0": sure(F.col(columns.passengers) == 0),
         "duration_lt_0": sure(F.col(columns.duration) < 0),
-        "date_unparseable": parsed.isNull(),
+        "date_unparseable": date.isNotNull() & parsed.isNull(),
         "date_out_of_range": sure(outside),
     }
 

@@ -10,9 +10,10 @@ def histogram(df: DataFrame, value: str, buckets: int = 10) -> DataFrame:
     """``bin, from_value, to_value, n``: bins are ``[from, to)``, the last one closed.
 
     The width is 1 when all values are equal; an empty input gives no bins.
+    Missing values and NaN are left out.
     The rows are counted by bin number in each task; only bin counts travel.
     """
-    rows = df.select(F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
+    rows = df.select(F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     spread = (F.col("hi") - F.col("lo")) / F.lit(buckets)
     edges = (
         rows.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))

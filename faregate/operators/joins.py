@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,20 +15,36 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
 
+def _held(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(8) + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.StructType):
+        parts = [_held(value[f.name], f.dataType) for f in kind.fields]
+        return reduce(lambda a, b: a + b, parts, F.lit(8))
+    if isinstance(kind, T.ArrayType):
+        inside = F.aggregate(value, F.lit(0).cast("bigint"), lambda sum, x: sum + _held(x, kind.elementType))
+        return F.lit(8) + F.coalesce(inside, F.lit(0))
+    if isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        return _held(F.map_keys(value), keys) + _held(F.map_values(value), values)
+    return F.lit(8)
+
+
+def held_bytes(df: DataFrame) -> Column:
+    """Bytes a row holds: eight per number, and what texts, arrays, maps and structs hold inside."""
+    parts = [_held(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("bigint")
+
+
 def broadcast_if_small(
     side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Mark ``side`` for broadcast only after measuring that it is small.
 
-    The measuring stops at ``max_rows + 1`` rows; bytes are eight per column
-    and what the texts hold. A larger side is returned as it is: Spark then
-    picks a shuffled join, and its skew handling applies.
+    The measuring stops at ``max_rows + 1`` rows. A larger side is returned as
+    it is: Spark then picks a shuffled join, and its skew handling applies.
     """
-    texts = [f.name for f in side.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    held = F.lit(8 * len(side.columns))
-    for name in texts:
-        held = held + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, size = side.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(held.cast("bigint"))).first()
+    rows, size = side.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(held_bytes(side))).first()
     return F.broadcast(side) if rows <= max_rows and (size or 0) <= max_bytes else side
 
 
@@ -109,3 +126,11 @@ def salted_join(
     elif strategy == "merge":
         salted_dim = salted_dim.hint("merge")
     return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")
+
+
+def join_or_salt(fact: DataFrame, dim: DataFrame, key: str, spread_on: list[str], how: str = "left") -> DataFrame:
+    """A broadcast join where the dimension measures small, a salted one beyond."""
+    small = broadcast_if_small(dim)
+    if small is not dim:
+        return fact.join(small, key, how)
+    return salted_join(fact, dim, key, spread_on, how=how)

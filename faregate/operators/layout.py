@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +29,41 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# A line break inside a text would break the row for a reader that splits files; in this
+# order each of these is replaced on writing, and in the reverse order put back on reading.
+CSV_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+CSV_EMPTY = "\\e"  # an empty text; an empty field is a missing value
+
+
+def escaped(column: Column) -> Column:
+    out = column
+    for plain, coded in CSV_ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(coded))
+    return F.when(column == "", CSV_EMPTY).otherwise(out)
+
+
+def unescaped(column: Column) -> Column:
+    out = column
+    for plain, coded in reversed(CSV_ESCAPES):
+        out = F.replace(out, F.lit(coded), F.lit(plain))
+    return F.when(column == CSV_EMPTY, "").otherwise(out)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV with a header that ``tables.read_csv`` reads back value by value.
+
+    Line breaks and backslashes of texts are escaped, so the files stay
+    splittable; blanks at either end of a text are kept.
+    """
+    texts = {f.name: escaped(F.col(f"`{f.name}`")) for f in df.schema if f.dataType.typeName() == "string"}
     (
-        df.write.mode(mode)
+        df.withColumns(texts)
+        .write.mode(mode)
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", NTZ_TEXT)
         .csv(path)
     )
@@ -108,9 +139,17 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _below(root: str) -> Column:
+    """The part of a file's path below ``root``, whatever scheme either is written with."""
+    plain = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    folder = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root.rstrip("/"))
+    # paths that list files are not percent-encoded, so the root is compared as it is
+    return F.when(F.startswith(plain, F.lit(f"{folder}/")), F.substr(plain, F.lit(len(folder) + 2)))
+
+
 def layout_sizes(spark: SparkSession, root: str) -> DataFrame:
     """Files and bytes of each layout directly below ``root``."""
-    name = F.regexp_extract("path", "/" + _tail(root) + "/([^/]+)", 1)
+    name = F.regexp_extract(_below(root), "^([^/]+)/", 1)
     return (
         listing(spark, root)
         .groupBy(name.alias("layout"))
@@ -119,8 +158,10 @@ def layout_sizes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def partition_files(spark: SparkSession, root: str, by: str) -> DataFrame:
-    """Files and bytes per partition value of a Hive layout."""
-    value = F.regexp_extract("path", f"/{by}=([^/]+)/", 1)
+    """Files and bytes per partition value of a Hive layout; the default partition is a null value."""
+    coded = F.regexp_extract(_below(root), f"^{re.escape(by)}=([^/]+)/", 1)
+    # a plus sign is itself in a partition path, and a blank to a URL
+    value = F.when(coded != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(coded, F.lit("+"), F.lit("%2B"))))
     return (
         listing(spark, root)
         .groupBy(value.alias(by))
@@ -128,13 +169,10 @@ def partition_files(spark: SparkSession, root: str, by: str) -> DataFrame:
     )
 
 
-def _tail(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1]
-
-
 def missing_artifacts(expected: DataFrame, present: DataFrame, on: str) -> DataFrame:
     """Expected names that are not present."""
-    return expected.select(on).distinct().join(present.select(on), on, "left_anti")
+    have = present.select(F.col(on).alias("__have"))
+    return expected.select(on).distinct().join(have, F.col(on).eqNullSafe(F.col("__have")), "left_anti")
 
 
 # The floor a dataset has to clear.
@@ -175,6 +213,15 @@ def write_manifest(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def text_bytes(df: DataFrame) -> Column:
+    """Raw size of a table as a scalar subquery: eight bytes per number, and the bytes of texts."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    row = F.lit(8 * (len(df.columns) - len(texts))).cast("bigint")
+    for name in texts:
+        row = row + F.coalesce(F.octet_length(f"`{name}`"), F.lit(0))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).scalar()
+
+
 def bytes_below(spark: SparkSession, paths: Sequence[str]) -> Column:
     """Total size of the files below some paths, as a scalar subquery."""
     files = None

@@ -54,6 +54,22 @@ def normalise(
     )
 
 
+def dimension_report(dim: DataFrame, name: str, key: str, more_than: int = 100) -> DataFrame:
+    """One row on whether a lookup may be joined: enough rows, every key set and none twice.
+
+    A key that occurs twice would multiply the rows it is joined to.
+    """
+    per_key = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counted = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        F.count(key).alias("key_count"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("missing_keys"),
+        F.count_if((F.col("n") > 1) & F.col(key).isNotNull()).alias("repeated_keys"),
+    )
+    fit = (F.col("row_count") > more_than) & (F.col("missing_keys") == 0) & (F.col("repeated_keys") == 0)
+    return counted.select(F.lit(name).alias("dimension"), "*", fit.alias("accepted"))
+
+
 def check_dimension(
     zones: DataFrame,
     needed: tuple[str, ...] = ("LocationID", "Borough"),
@@ -65,4 +81,7 @@ def check_dimension(
         raise ShapeError(f"lookup has no {absent}; got {zones.columns[:4]}")
     if zones.limit(more_than + 1).count() <= more_than:
         raise ShapeError(f"lookup has no more than {more_than} rows")
+    report = dimension_report(zones, "lookup", needed[0], more_than).first()
+    if not report["accepted"]:
+        raise ShapeError(f"lookup keys are missing or repeated: {report.asDict()}")
     return zones

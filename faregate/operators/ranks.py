@@ -25,7 +25,7 @@ SLOTS = 256  # tasks that merge sketches, shared out among the groups
 FEW_GROUPS = 1_000  # up to here each group gets the fine grid of quantiles
 FINE_GRID, COARSE_GRID = 1_000, 50
 RANKED_ROWS = 1_000_000  # at most this many rows are ranked in one task
-TOP_ROWS = 10_000  # up to here a plain top-k is one small task
+MISSED = "rank bracket missed its value"
 
 RankOf = Callable[[Column], Column]
 
@@ -42,7 +42,7 @@ def _rounds_for(rows: int, grid: int) -> int:
     return rounds
 
 
-def _points(entries: DataFrame, keys: Sequence[str], grid: int, slots: int) -> DataFrame:
+def _points(entries: DataFrame, keys: Sequence[str], grid: int, slots: int, slack: int = 1) -> DataFrame:
     """Quantile points of each group with bounds on their ranks.
 
     A null value stands for a row below the group's bracket: it counts, and
@@ -75,7 +75,7 @@ def _points(entries: DataFrame, keys: Sequence[str], grid: int, slots: int) -> D
         F.min("low").over(group).alias("low"),
         F.max("high").over(group).alias("high"),
         (inside / grid).alias("step"),
-        (inside / ACCURACY + F.count(F.lit(1)).over(group) + 1).alias("off"),
+        ((inside / ACCURACY + F.count(F.lit(1)).over(group) + 1) * slack).alias("off"),
         (F.col("m") / grid).alias("weight"),
         "grid",
     )
@@ -107,6 +107,7 @@ def values_at_ranks(
     targets: dict[str, Sequence[RankOf]],
     by: Sequence[str] = (),
     rounds: int | None = None,
+    slack: int = 1,
 ) -> DataFrame:
     """Per group: ``n`` and, for each target, the exact values at its ranks.
 
@@ -114,7 +115,9 @@ def values_at_ranks(
     rank; the ranks of one target lie close together, in rising order (a median
     needs two neighbours). Its column is an array with one value per rank, null
     where the rank lies outside the group. Nulls in ``value`` do not count.
+    ``slack`` widens the brackets.
     """
+    _checked_kind(df, value)
     by = list(by)
     targets = {name: [_whole(rank) for rank in ranks] for name, ranks in targets.items()}
     dtype = df.schema[value].dataType
@@ -161,9 +164,9 @@ def values_at_ranks(
         )
     else:  # one set of points serves all targets at first; later each has its own
         everything = rows.withColumn("n", F.lit(None).cast("bigint"))
-        brackets = brackets_from(_points(everything, by, *shape), per_target=False)
+        brackets = brackets_from(_points(everything, by, *shape, slack), per_target=False)
     for _ in range(rounds - 1):
-        brackets = brackets_from(_points(entries(brackets), [*by, "__t"], *shape), per_target=True)
+        brackets = brackets_from(_points(entries(brackets), [*by, "__t"], *shape, slack), per_target=True)
 
     running = Window.partitionBy(*by, "__t").orderBy(v.asc_nulls_first())
     reached = (
@@ -184,7 +187,7 @@ def values_at_ranks(
         return (
             F.when(n.isNull() | r.isNull() | (r < 0) | (r >= n), F.lit(None).cast(dtype))
             .when((found["before"] <= r) & found["hit"].isNotNull(), found["hit"])
-            .otherwise(F.raise_error(F.lit("rank bracket missed its value")).cast(dtype))
+            .otherwise(F.raise_error(F.lit(MISSED)).cast(dtype))
         )
 
     return (
@@ -217,45 +220,58 @@ def median_by(df: DataFrame, value: str, by: Sequence[str] = (), rounds: int | N
     )
 
 
+def _checked_kind(df: DataFrame, key: str) -> T.DataType:
+    kind = df.schema[key].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"{key} is {kind.simpleString()}; ranks need a key of numbers or times")
+    return kind
+
+
 def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[RankOf]) -> list[Column]:
     """The exact keys at some ranks of the whole table, as constants.
 
     The keys are looked up now, and only they come back. As constants they are
     found once however often the result is used, and a filter on them reaches
-    the file reader. A rank outside the table gives a null.
+    the file reader. A rank outside the table gives a null. Should a bracket
+    miss its value, the search is repeated with brackets sixteen times as wide.
     """
-    kind = df.schema[key].dataType
+    kind = _checked_kind(df, key)
     targets = {f"at{i}": [rank] for i, rank in enumerate(ranks)}
-    found = values_at_ranks(df, key, targets)
     as_text = isinstance(kind, T.DatetimeType)  # exact, whatever the zone of this process
-    values = [F.col(name)[0].cast("string") if as_text else F.col(name)[0] for name in targets]
-    row = found.select(*[v.alias(name) for v, name in zip(values, targets)]).first()
+    slack = 1
+    while True:
+        found = values_at_ranks(df, key, targets, slack=slack)
+        values = [F.col(name)[0].cast("string") if as_text else F.col(name)[0] for name in targets]
+        try:
+            row = found.select(*[v.alias(name) for v, name in zip(values, targets)]).first()
+            break
+        except Exception as error:
+            if MISSED not in str(error) or slack > ACCURACY:
+                raise
+            slack *= 16
     return [F.lit(value).cast(kind) for value in (row or [None] * len(ranks))]
 
 
 def first_rows(df: DataFrame, key: str, rows: int | RankOf) -> DataFrame:
-    """The first rows in the order of a unique numeric or time key.
+    """The rows whose key is at most the key at rank ``rows - 1``, at every size alike.
 
-    A small fixed number is a top-k. Anything larger becomes a filter on the
-    key found at that rank: a narrow scan whose filter reaches the file.
+    The key is of numbers or times. With a unique key these are exactly ``rows``
+    rows; rows that tie with the last key all belong to them, rows without a key
+    never do. The result is a narrow scan whose filter reaches the file.
     """
-    if isinstance(rows, int) and rows <= TOP_ROWS:
-        return df.orderBy(key).limit(rows)
     wanted = (lambda n: F.lit(rows)) if isinstance(rows, int) else rows
     (limit,) = keys_at_ranks(df, key, [lambda n: F.least(wanted(n), n) - 1])
     return df.where(F.col(key) <= limit)
 
 
 def slice_rows(df: DataFrame, key: str, start: int | RankOf, stop: int | RankOf) -> DataFrame:
-    """Rows ``start`` (included) to ``stop`` (excluded) in the order of a unique key."""
-    if isinstance(start, int) and isinstance(stop, int) and stop <= TOP_ROWS:
-        return df.orderBy(key).offset(start).limit(max(stop - start, 0))
+    """Rows ``start`` (included) to ``stop`` (excluded) in the order of a key, as ``first_rows`` counts them.
+
+    Ties: rows with the key at rank ``start`` or at rank ``stop - 1`` all belong.
+    """
     begin = (lambda n: F.lit(start)) if isinstance(start, int) else start
     end = (lambda n: F.lit(stop)) if isinstance(stop, int) else stop
     lowest, highest = keys_at_ranks(df, key, [begin, lambda n: F.least(end(n), n) - 1])
+    if isinstance(start, int) and isinstance(stop, int) and stop <= start:
+        return df.where(F.lit(False))
     return df.where((F.col(key) >= lowest) & (F.col(key) <= highest))
-
-
-def shuffled(df: DataFrame, seed: int) -> DataFrame:
-    """All rows in a seeded random order, for writing; carries no meaning otherwise."""
-    return df.orderBy(F.rand(seed))

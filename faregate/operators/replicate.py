@@ -19,21 +19,27 @@ def replicate_rows(
     key: str,
     target: int | Callable[[int], int],
     copy_column: str = "copy",
-    spread: bool = False,
+    spread: bool | None = None,
 ) -> DataFrame:
     """Repeat all rows until there are exactly ``target``; the last round is partial.
 
     Rows up to the key at rank ``target % n`` get one copy more than the rest,
-    so nothing is joined, sorted or shuffled. With ``spread`` (few rows, very
-    many copies) the copies of a row are first planned in chunks of 1,000 and
-    the chunks shuffled, so that no task unfolds a whole row's copies.
+    so nothing is joined, sorted or shuffled. With ``spread`` the copies of a row
+    are first planned in chunks of 1,000 and the chunks shuffled, so that no task
+    unfolds a whole row's copies; if not given, it is on where a row has more
+    copies than a chunk. The key must be unique; a row without a key gets the
+    whole rounds only, and a last round that would need such rows is an error.
     """
-    n = df.count()
+    n, keyed = df.agg(F.count(F.lit(1)), F.count(key)).first()
     whole, partial = divmod(target if isinstance(target, int) else target(n), max(n, 1))
     copies = F.lit(whole).cast("bigint")
+    if partial > keyed:
+        raise ValueError(f"{n - keyed} rows have no {key}; the last round needs {partial} rows with one")
+    if spread is None:
+        spread = whole > COPIES_PER_CHUNK
     if partial and n:
         (last,) = keys_at_ranks(df, key, [lambda _: F.lit(partial - 1)])
-        copies = copies + (F.col(key) <= last).cast("bigint")
+        copies = copies + F.coalesce(F.col(key) <= last, F.lit(False)).cast("bigint")
     step = F.lit(COPIES_PER_CHUNK).cast("bigint")
     last_copy = F.greatest(F.col("__copies") - 1, F.lit(0))
     chunks = (

@@ -50,6 +50,17 @@ def stage_stats(
     )
 
 
+def report_totals(report: DataFrame) -> DataFrame:
+    """Totals and maxima over a stage table, one row."""
+    return report.agg(
+        F.count(F.lit(1)).alias("stages"),
+        F.coalesce(F.sum("tasks"), F.lit(0)).alias("tasks"),
+        F.max("max_s").alias("longest_s"),
+        F.coalesce(F.max("skew_ratio"), F.lit(0.0)).alias("max_skew"),
+        F.count_if("straggler").alias("stragglers"),
+    )
+
+
 def run_summary(report: DataFrame, variant: str, wall_seconds: float) -> DataFrame:
     """One row for a run: stages, largest skew ratio, shuffle megabytes."""
     return report.agg(
@@ -62,6 +73,3 @@ def run_summary(report: DataFrame, variant: str, wall_seconds: float) -> DataFra
         ),
     )
 
-
-def total_shuffle_write(report: DataFrame) -> DataFrame:
-    return report.agg(F.coalesce(F.sum("shuffle_write"), F.lit(0)).alias("shuffle_write"))

@@ -31,25 +31,25 @@ from faregate.sources import tables
 
 ROW_ID = "row_id"
 DIRTY = DirtyColumns(key=ROW_ID)
-CSV_SLICE_ROWS = 400_000  # fixed value: the CSV twin of the shared slice stops here
 DOMINANCE_FLOOR = 0.5  # fixed value: below this share the skew lessons do not work
 MIN_CURATED_COLUMNS = 30  # fixed value: fewer columns make column pruning pointless
 
 
 @dataclass(frozen=True)
 class Profile:
-    """How large each layout is made."""
+    """How large each layout is made; None takes every row (the dirty table the first half)."""
 
-    csv_bytes: int
-    slice_rows: int
-    format_rows: int
+    csv_bytes: int | None
+    slice_rows: int | None
+    format_rows: int | None
     small_files: int
-    skewed_rows: int
-    dirty_rows: int
+    skewed_rows: int | None
+    dirty_rows: int | None
 
 
-# The three build sizes.
+# The three build sizes; ``whole`` has none.
 PROFILES = {
+    "whole": Profile(None, None, None, 10_000, None, None),
     "full": Profile(2_200_000_000, 2_000_000, 1_000_000, 10_000, 10_000_000, 1_500_000),
     "small": Profile(220_000_000, 200_000, 100_000, 1_000, 1_000_000, 150_000),
     "tiny": Profile(12_000_000, 20_000, 10_000, 100, 50_000, 15_000),
@@ -71,6 +71,7 @@ EXPECTED_PATHS = (
     "s7/zones.parquet",
     "s8/trips_dirty.parquet",
     "s8/defect_manifest.json",
+    "s8/trips_day2.parquet",
 )
 
 
@@ -78,7 +79,7 @@ def load_zones(spark: SparkSession, path: str | None) -> DataFrame:
     """The zone lookup, or the fallback lookup where none (or a broken one) is given."""
     if path:
         try:
-            return normalise.check_dimension(tables.read_csv(spark, path, schemas.ZONE_SCHEMA))
+            return normalise.check_dimension(tables.read_foreign_csv(spark, path, schemas.ZONE_SCHEMA))
         except (PySparkException, normalise.ShapeError) as error:
             # a missing file, an HTML page named .csv, a file cut short
             print(f"zone lookup {path} not usable ({str(error)[:200]}); using the fallback")
@@ -100,9 +101,13 @@ def curated_table(trips: DataFrame, zones: DataFrame, path: str) -> DataFrame:
     return trips.sparkSession.read.parquet(path)
 
 
-def is_built(spark: SparkSession, out: str) -> bool:
+def is_built(spark: SparkSession, out: str, profile: Profile | None = None) -> bool:
+    """Whether a build is finished; with a profile, whether it was built to that one."""
     try:
-        return spark.read.json(f"{out}/manifest").limit(1).count() == 1
+        rows = spark.read.json(f"{out}/manifest")
+        if profile is not None:
+            rows = rows.where((F.col("metric") == "profile") & (F.col("detail") == repr(profile)))
+        return rows.limit(1).count() == 1
     except AnalysisException:  # the folder is not there
         return False
 
@@ -123,31 +128,33 @@ def build(
     out: str,
     trips: DataFrame,
     zones: DataFrame,
-    profile: str | Profile = "full",
+    profile: str | Profile = "whole",
     force: bool = False,
 ) -> DataFrame:
     """Write all layouts below ``out`` and return the manifest.
 
-    A finished build is left alone unless ``force`` is set.
+    A finished build of the same profile is left alone unless ``force`` is set.
     """
-    if not force and is_built(spark, out):
+    size = PROFILES[profile] if isinstance(profile, str) else profile
+    if not force and is_built(spark, out, size):
         return spark.read.json(f"{out}/manifest")
     began = time.monotonic()
-    size = PROFILES[profile] if isinstance(profile, str) else profile
 
     layout.write_csv(zones, f"{out}/zones/taxi_zone_lookup.csv")
     wide = curated_table(trips, zones, f"{out}/curated")
     columns = [name for name in wide.columns if name != ROW_ID]
 
-    big = replicate.replicate_to_csv_bytes(wide, ROW_ID, size.csv_bytes)
+    def head(rows: int | None) -> DataFrame:
+        return wide if rows is None else ranks.first_rows(wide, ROW_ID, rows)
+
+    big = wide if size.csv_bytes is None else replicate.replicate_to_csv_bytes(wide, ROW_ID, size.csv_bytes)
     layout.write_csv(big.select(*columns), f"{out}/s1/trips_big.csv")
 
-    shared = ranks.first_rows(wide, ROW_ID, size.slice_rows).select(*columns)
+    shared = head(size.slice_rows).select(*columns)
     layout.write_parquet(shared, f"{out}/shared/trips_slice.parquet")
-    head = ranks.first_rows(wide, ROW_ID, min(size.slice_rows, CSV_SLICE_ROWS))
-    layout.write_csv(head.select(*columns), f"{out}/shared/trips_slice.csv")
+    layout.write_csv(shared, f"{out}/shared/trips_slice.csv")
 
-    base = ranks.first_rows(wide, ROW_ID, size.format_rows).select(*columns)
+    base = head(size.format_rows).select(*columns)
     layout.write_parquet(base, f"{out}/s6/trips.parquet")
     base = tables.read_parquet(spark, f"{out}/s6/trips.parquet")
     layout.write_csv(base, f"{out}/s6/trips.csv")
@@ -156,27 +163,28 @@ def build(
     layout.write_partitioned(base, f"{out}/s6/trips_partitioned", "pickup_date")
     layout.write_small_files(base, f"{out}/s6/trips_smallfiles", size.small_files)
 
-    skewed = replicate.replicate_rows(wide, ROW_ID, size.skewed_rows)
+    skewed = wide if size.skewed_rows is None else replicate.replicate_rows(wide, ROW_ID, size.skewed_rows)
     layout.write_partitioned(skewed.select(*columns), f"{out}/s7/trips_skewed", "pickup_day")
     layout.write_parquet(zones, f"{out}/s7/zones.parquet")
 
-    clean = ranks.first_rows(wide, ROW_ID, size.dirty_rows)
+    dirty_rows = (lambda n: F.floor(n / 2)) if size.dirty_rows is None else (lambda n: F.lit(size.dirty_rows))
+    clean = ranks.first_rows(wide, ROW_ID, dirty_rows)
     dirty = defects.inject_defects(clean, DIRTY).drop(ROW_ID)
     layout.write_parquet(dirty, f"{out}/s8/trips_dirty.parquet")
     dirty = tables.read_parquet(spark, f"{out}/s8/trips_dirty.parquet")
     layout.write_manifest(gates.manifest(clean, dirty, DIRTY), f"{out}/s8/defect_manifest.json")
-    next_day = ranks.slice_rows(wide, ROW_ID, size.dirty_rows, 2 * size.dirty_rows)
+    next_day = ranks.slice_rows(wide, ROW_ID, dirty_rows, lambda n: 2 * dirty_rows(n))
     layout.write_parquet(
         defects.second_day(next_day.select(*columns)), f"{out}/s8/trips_day2.parquet"
     )
 
-    facts = manifest_rows(spark, wide, out, len(columns), time.monotonic() - began)
+    facts = manifest_rows(spark, wide, out, len(columns), time.monotonic() - began, size)
     layout.write_manifest(facts, f"{out}/manifest")
     return spark.read.json(f"{out}/manifest")
 
 
 def manifest_rows(
-    spark: SparkSession, wide: DataFrame, out: str, columns: int, seconds: float
+    spark: SparkSession, wide: DataFrame, out: str, columns: int, seconds: float, profile: Profile
 ) -> DataFrame:
     """``metric, value, detail`` rows about a finished build."""
     top = shares.dominant_key(wide, "pickup_borough", DOMINANCE_FLOOR)
@@ -208,6 +216,7 @@ def manifest_rows(
                 ("curated_columns", float(columns), None),
                 ("curated_columns_ok", float(columns >= MIN_CURATED_COLUMNS), None),
                 ("build_seconds", round(seconds, 1), None),
+                ("profile", None, repr(profile)),
             ],
             "metric string, value double, detail string",
         ),

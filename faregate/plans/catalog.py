@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faregate.functions import calendar, digest, rounding, text
+from faregate.functions import calendar, rounding, text
 from faregate.operators import (
-    balance,
     curate,
     defects,
     duplicates,
@@ -30,7 +29,7 @@ from faregate.plans import trips
 from faregate.plans.trips import TRIP_EVENTS, table
 from faregate.schemas import CHARGE_COLUMNS, PAYMENT_LABELS
 from faregate.session import SQL_PROFILES, shared_folder, variant_session
-from faregate.sources import eventlog, tables
+from faregate.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,8 +81,7 @@ def curate_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dominant_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    skewed = trips.skewed_trips(spark, sf_dir)
-    return shares.dominant_key(skewed, "pickup_borough")
+    return shares.dominant_key(table(spark, sf_dir, "documents"), "lang")
 
 
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,6 +174,45 @@ def string_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks with a nested field that may be missing, in other units."""
+    props = F.from_json("props", "k bigint, net struct<bytes: bigint>")
+    clicks = table(spark, sf_dir, "events").where(F.col("event_type") == "click").withColumn("p", props)
+    return clicks.select(
+        "event_id",
+        F.coalesce("p.k", F.lit(0)).alias("k"),
+        F.coalesce("p.net.bytes", F.lit(0)).alias("net_bytes"),
+        (F.col("value") / 1000).alias("seconds"),
+        (F.coalesce("p.k", F.lit(0)) / (1024.0 * 1024.0)).alias("megabytes"),
+    )
+
+
+def sane_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time from order to shipping where both are set and in order, else none."""
+    line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    start = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))  # not set yet
+    end = F.col("l_shipdate")
+    sane = start.isNotNull() & end.isNotNull() & (end >= start)
+    return line.join(order, line.l_orderkey == order.o_orderkey).select(
+        "l_orderkey",
+        "l_linenumber",
+        sane.alias("sane"),
+        F.when(sane, calendar.duration_seconds(start, end)).alias("seconds"),
+    )
+
+
+def dimension_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tables may serve as a lookup on which key."""
+    candidates = (
+        ("nation", "n_nationkey"), ("customer", "c_custkey"), ("customer", "c_nationkey"),
+        ("part", "p_partkey"), ("pages", "page_id"), ("labels", "doc_id"), ("lineitem", "l_orderkey"),
+    )
+    reports = [
+        normalise.dimension_report(table(spark, sf_dir, name), f"{name}.{key}", key) for name, key in candidates
+    ]
+    return replicate.union_versions(*reports)
+
+
 def schema_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A customer file with other spellings, a missing and an extra column."""
     drifted = table(spark, sf_dir, "customer").select(
@@ -235,32 +272,54 @@ def join_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_nation(joins.salted_join(line, supplier, "suppkey", spread, "merge"))
 
 
-def _skewed_join_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    fact = trips.skewed_trips(spark, sf_dir).select("event_id", "LocationID", "value")
-    return fact, trips.zones(spark, sf_dir).select("LocationID", "Zone")
+def _languages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents and their languages as a lookup; one language holds most documents."""
+    fact = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    # as a table of its own: a join side that still has to be summed can't be read in pieces
+    return fact, layout.written(fact.groupBy("lang").agg(F.min("source").alias("first_source")))
 
 
-def _by_zone(joined: DataFrame) -> DataFrame:
-    return joined.groupBy("Zone").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum(rounding.cents(F.col("value"))).alias("value_cents"),
+def _by_source(joined: DataFrame) -> DataFrame:
+    return joined.groupBy("source", "first_source").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("chars")
     )
 
 
 def join_skew_aqe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A merge join with a 90 % key; adaptive execution splits its partition."""
+    """A merge join on a key that holds most rows; adaptive execution splits its partition.
+
+    Thresholds follow the input: a partition counts as skewed from twice an
+    even share on, and is cut into pieces of a quarter of one. A split needs
+    several map tasks, so a table that one task would scan is dealt out first.
+    """
+    fact = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = fact.agg(F.sum(joins.held_bytes(fact))).first()[0] or 0
+    even = max(size // parts // 4, 1)  # what is shuffled is packed
     adaptive = variant_session(
-        spark, {**SQL_PROFILES["production"], "spark.sql.autoBroadcastJoinThreshold": "-1"}
+        spark,
+        {
+            **SQL_PROFILES["production"],
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(even),
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(max(even // 4, 1)),
+        },
     )
-    fact, zones = _skewed_join_sides(adaptive, sf_dir)
-    return _by_zone(joins.join_dimension(fact, zones, "LocationID", "merge"))
+    fact, languages = _languages(adaptive, sf_dir)
+    if fact.rdd.getNumPartitions() < parts:
+        fact = fact.repartition(parts)
+    return _by_source(joins.join_dimension(fact, languages, "lang", "merge"))
 
 
 def join_skew_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join with adaptive execution off; the hot key is salted instead."""
-    fixed = variant_session(spark, SQL_PROFILES["teaching"])
-    fact, zones = _skewed_join_sides(fixed, sf_dir)
-    return _by_zone(joins.salted_join(fact, zones, "LocationID", ["event_id"], "merge"))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    fixed = variant_session(
+        spark, {**SQL_PROFILES["teaching"], "spark.sql.shuffle.partitions": width}
+    )
+    fact, languages = _languages(fixed, sf_dir)
+    return _by_source(joins.salted_join(fact, languages, "lang", ["doc_id"], "merge"))
 
 
 # ---------------------------------------------------------------- samples, slices, unions
@@ -276,28 +335,6 @@ def weighted_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.key_shares(skewed, "pickup_borough")
 
 
-def fallback_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event gets a zone of the fallback lookup: a borough by weight, then
-    one of that borough's zones."""
-    numbered = sampling.numbered_within(sampling.fallback_zones(spark), "Borough", "LocationID")
-    borough = sampling.skewed_borough(F.col("event_id"), present=list(sampling.FALLBACK_BOROUGHS))
-    place = F.lit(None).cast("bigint")
-    for name, zones in sampling.FALLBACK_BOROUGHS.items():
-        one_of = digest.bucket(F.col("event_id"), "zone", zones)
-        place = F.when(F.col("Borough") == name, one_of).otherwise(place)
-    drawn = (
-        table(spark, sf_dir, "events")
-        .select("event_id", borough.alias("Borough"))
-        .select("event_id", "Borough", place.cast("int").alias("place"))
-    )
-    joined = drawn.join(F.broadcast(numbered), ["Borough", "place"], "left")
-    return joined.groupBy("Borough", "service_zone").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.min("Zone").alias("first_zone"),
-        F.max("Zone").alias("last_zone"),
-    )
-
-
 def slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return ranks.slice_rows(events, "event_id", lambda n: n / 4, lambda n: n / 2)
@@ -394,27 +431,10 @@ def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.stage_stats(table(spark, sf_dir, "events"), "event_type", "value")
 
 
-def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixteen buckets of a 90 % key, before and after its rows are salted."""
-    skewed = trips.skewed_trips(spark, sf_dir)
-    salt = digest.bucket(F.col("event_id"), "salt", 32).cast("string")
-    salted = F.concat_ws("#", "pickup_borough", salt)
-    variants = skewed.select(
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit("plain").alias("variant"),
-                    digest.bucket(F.col("pickup_borough"), "part", 16).alias("bucket"),
-                ),
-                F.struct(
-                    F.lit("salted").alias("variant"),
-                    digest.bucket(salted, "part", 16).alias("bucket"),
-                ),
-            )
-        ).alias("v")
-    ).select("v.variant", "v.bucket")
-    counts = variants.groupBy("variant", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    return balance.balance(counts, ["variant"])
+def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and maxima over the table of event types."""
+    report = stages.stage_stats(table(spark, sf_dir, "events"), "event_type", "value")
+    return stages.report_totals(report)
 
 
 def table_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,78 +445,6 @@ def table_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints
 
 
-def _event_log(spark: SparkSession, sf_dir: str) -> str:
-    """The events table as an event log: one task per event, with broken lines."""
-    folder = f"{shared_folder(spark)}/eventlog"
-    events = table(spark, sf_dir, "events").select(
-        "event_type",
-        "user_id",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.rint(F.col("value") * 1000).cast("bigint").alias("ms"),
-        F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).alias("at"),
-    )
-    stage = F.instr(F.lit("cepsv"), F.substring("event_type", 1, 1)).cast("bigint")
-    task = F.to_json(
-        F.struct(
-            F.lit("SparkListenerTaskEnd").alias("Event"),
-            stage.alias("Stage ID"),
-            F.struct(
-                F.when(F.col("k") == 0, F.lit(0)).otherwise(F.col("at")).alias("Launch Time"),
-                (F.col("at") + F.col("ms")).alias("Finish Time"),
-                (F.col("k") == 1).alias("Failed"),
-            ).alias("Task Info"),
-            F.struct(
-                (F.col("k") * 10).alias("Disk Bytes Spilled"),
-                F.struct(
-                    F.col("user_id").alias("Remote Bytes Read"), F.col("k").alias("Local Bytes Read")
-                ).alias("Shuffle Read Metrics"),
-                F.struct((F.col("user_id") * 1024).alias("Shuffle Bytes Written")).alias(
-                    "Shuffle Write Metrics"
-                ),
-                F.when(F.col("k") > 50, F.struct(F.col("k").alias("Records Read"))).alias("Input Metrics"),
-            ).alias("Task Metrics"),
-        )
-    )
-    cut = F.when(F.col("k") == 13, F.concat_ws("\n", task, F.substring(task, 1, 60), F.lit("")))
-    done = F.to_json(
-        F.struct(
-            F.lit("SparkListenerStageCompleted").alias("Event"),
-            F.struct(
-                stage.alias("Stage ID"),
-                F.lit(0).alias("Stage Attempt ID"),
-                F.concat(F.col("event_type"), F.lit(" at Main.scala:10")).alias("Stage Name"),
-                F.concat(F.lit("org.example."), F.col("event_type"), F.lit("\nsecond line")).alias("Details"),
-            ).alias("Stage Info"),
-        )
-    )
-    lines = events.select(F.coalesce(cut, task).alias("value"))
-    stages_done = events.select("event_type").distinct().select(done.alias("value"))
-    for number, part in enumerate((lines, stages_done), start=1):
-        part.write.mode("overwrite").text(f"{folder}/part{number}")
-    return folder
-
-
-def _read_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _event_log(spark, sf_dir)
-    return eventlog.read_events(spark, f"{folder}/part*")
-
-
-def stage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eventlog.stage_report(_read_log(spark, sf_dir))
-
-
-def task_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eventlog.task_histogram(_read_log(spark, sf_dir), stage_id=3)
-
-
-def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = f"{shared_folder(spark)}/runs"
-    report = stage_report(spark, sf_dir)
-    eventlog.record_run(report, "baseline", 12.345, runs)
-    slow = report.where(F.col("straggler"))
-    return eventlog.record_run(slow, "stragglers only", 6.5, runs)
-
-
 # ---------------------------------------------------------------- layouts
 
 
@@ -533,12 +481,12 @@ def layout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layout_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each layout still holds the source's rows, by fingerprint."""
     source = fingerprint.fingerprint(_daily_events(spark, sf_dir))
-    wanted = source.select(F.struct("rows", "hash_sum", "hash_xor")).scalar()
+    wanted = source.select(F.struct("rows", "content")).scalar()
     prints = [
         fingerprint.fingerprint(df).withColumn("layout", F.lit(name))
         for name, df in _written_layouts(spark, sf_dir).items()
     ]
-    same = F.struct("rows", "hash_sum", "hash_xor") == F.col("wanted")
+    same = F.struct("rows", "content") == F.col("wanted")
     return (
         replicate.union_versions(*prints)
         .withColumn("wanted", wanted)
@@ -546,14 +494,69 @@ def layout_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents and pages, line breaks, quotes, nulls and the text ``NA`` included, out and back."""
+    root = shared_folder(spark)
+    lang = F.when(F.col("lang") != "de", F.col("lang"))
+    source = F.when(F.col("source") == "src1", "NA").otherwise(F.col("source"))
+    documents = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.concat(F.lit(" "), "text").alias("body"), lang.alias("lang"), source.alias("place")
+    )
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), F.col("html").alias("body"), F.lit("").alias("lang"), F.col("url").alias("place")
+    )
+    parts = []
+    for name, df in (("documents", documents), ("pages", pages)):
+        layout.write_csv(df, f"{root}/{name}-csv")
+        layout.write_ndjson(df, f"{root}/{name}-json")
+        parts.append(tables.read_csv(spark, f"{root}/{name}-csv", df.schema).withColumn("layout", F.lit(f"{name} csv")))
+        parts.append(tables.read_ndjson(spark, f"{root}/{name}-json", df.schema).withColumn("layout", F.lit(f"{name} json")))
+    return replicate.union_versions(*parts)
+
+
 def layout_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of each layout, each written in a given number of them."""
     root = shared_folder(spark)
     events = _daily_events(spark, sf_dir)
-    layout.write_csv(events, f"{root}/csv")
-    layout.write_ndjson(events, f"{root}/json")
-    layout.write_parquet(events, f"{root}/flat")
+    layout.write_csv(events.repartition(3), f"{root}/csv")
+    layout.write_ndjson(events.repartition(4), f"{root}/json")
+    layout.write_parquet(events.repartition(5), f"{root}/flat")
     layout.write_small_files(events, f"{root}/small", 50)
-    return layout.layout_sizes(spark, root)
+    sizes = layout.layout_sizes(spark, root)
+    return sizes.select("layout", "files", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+def append_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries appended day by day to one partitioned table."""
+    path = f"{shared_folder(spark)}/deliveries"
+    events = _daily_events(spark, sf_dir).select("event_id", "value", "pickup_date")
+    for delivery in (1, 2):
+        rows = events.withColumn("delivery", F.lit(delivery))
+        layout.write_partitioned(rows, path, "pickup_date", mode="append")
+    return tables.read_partitioned(spark, path, rows.schema)
+
+
+def skip_if_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second build is skipped where the table is there, a forced one replaces it."""
+    root = shared_folder(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    changed = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for name, mode in (("skipped", "ignore"), ("forced", "overwrite")):
+        layout.write_parquet(orders, f"{root}/{name}", mode="ignore")
+        layout.write_parquet(changed, f"{root}/{name}", mode=mode)
+    return replicate.union_versions(
+        *[tables.read_parquet(spark, f"{root}/{n}").withColumn("build", F.lit(n)) for n in ("skipped", "forced")]
+    )
+
+
+def replicate_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows repeated until their CSV is two and a half times the table's, written and read back."""
+    path = f"{shared_folder(spark)}/replicated"
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    size = replicate.csv_row_bytes(events) * events.count()
+    big = replicate.replicate_to_csv_bytes(events, "event_id", int(size * 2.5))
+    layout.write_csv(big, path)
+    return tables.read_csv(spark, path, big.schema)
 
 
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -608,16 +611,18 @@ def idempotent_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artifact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days that should have a partition of high values but have none."""
+    """Days that should have a partition of high values but have none; some days are malformed."""
     path = f"{shared_folder(spark)}/high"
-    events = _daily_events(spark, sf_dir)
+    day = F.when(F.col("event_id") % 10 == 3, "31/02/2024").otherwise(F.col("pickup_date"))
+    events = _daily_events(spark, sf_dir).withColumn("pickup_date", day)
     layout.write_partitioned(events.where(F.col("value") > 300), path, "pickup_date")
     present = layout.partition_files(spark, path, "pickup_date")
     return layout.missing_artifacts(events, present, "pickup_date")
 
 
 def dataset_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.dataset_floor(table(spark, sf_dir, "lineitem"), "l_shipdate")
+    line = table(spark, sf_dir, "lineitem")
+    return layout.dataset_floor(line, "l_shipdate", layout.text_bytes(line))
 
 
 def csv_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -632,7 +637,7 @@ def csv_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_nationkey") != 7, F.col("c_nationkey")).alias("c_nationkey"),
     )
     layout.write_csv(written, path)
-    return tables.read_csv(spark, path, written.schema)
+    return tables.read_foreign_csv(spark, path, written.schema)
 
 
 QUERIES: dict[str, Query] = {
@@ -648,6 +653,9 @@ QUERIES: dict[str, Query] = {
     "label_codes": label_codes,
     "string_parts": string_parts,
     "schema_normalise": schema_normalise,
+    "nested_fields": nested_fields,
+    "sane_intervals": sane_intervals,
+    "dimension_gate": dimension_gate,
     "join_broadcast": join_broadcast,
     "join_hash": join_hash,
     "join_merge": join_merge,
@@ -655,7 +663,6 @@ QUERIES: dict[str, Query] = {
     "join_skew_salted": join_skew_salted,
     "key_sample": key_sample,
     "weighted_key": weighted_key,
-    "fallback_dimension": fallback_dimension,
     "slice_rows": slice_rows,
     "head_rows": head_rows,
     "replicate_rows": replicate_rows,
@@ -670,14 +677,15 @@ QUERIES: dict[str, Query] = {
     "drift_profile": drift_profile,
     "histogram": value_histogram,
     "stage_stats": stage_stats,
-    "partition_balance": partition_balance,
+    "report_totals": report_totals,
     "fingerprint": table_fingerprints,
-    "stage_report": stage_report,
-    "task_histogram": task_histogram,
-    "run_table": run_table,
     "layout_roundtrip": layout_roundtrip,
     "layout_fingerprints": layout_fingerprints,
+    "text_roundtrip": text_roundtrip,
     "layout_sizes": layout_sizes,
+    "append_days": append_days,
+    "skip_if_built": skip_if_built,
+    "replicate_csv": replicate_csv,
     "partition_prune": partition_prune,
     "column_prune": column_prune,
     "compact_files": compact_files,

@@ -56,8 +56,8 @@ _RAW = f"""raw AS (
     {_round('l_extendedprice*l_tax')} AS tip_amount, 0.0::double AS tolls_amount,
     1.0::double AS improvement_surcharge, l_tax+0.0::double AS congestion_surcharge,
     l_discount+0.0::double AS airport_fee
-  FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN customer ON o_custkey=c_custkey
-  JOIN supplier ON l_suppkey=s_suppkey),
+  FROM lineitem LEFT JOIN orders ON l_orderkey=o_orderkey LEFT JOIN customer ON o_custkey=c_custkey
+  LEFT JOIN supplier ON l_suppkey=s_suppkey),
 priced AS (
   SELECT *, {_round('fare_amount+extra+mta_tax+tip_amount+tolls_amount+improvement_surcharge+congestion_surcharge+airport_fee')} AS total_amount,
     (epoch_us(tpep_dropoff_datetime)-epoch_us(tpep_pickup_datetime))/1000000.0::double AS sec
@@ -80,13 +80,6 @@ SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, t
 FROM priced LEFT JOIN zones p ON PULocationID=p.LocationID LEFT JOIN zones d ON DOLocationID=d.LocationID"""
 
 _SKEWED = f"skewed AS (SELECT event_id, {_weighted('event_id', 'pickup', _WEIGHTS)} AS pickup_borough, value FROM events)"
-_SKEW_KEYED = (
-    _SKEWED
-    + ", keyed AS (SELECT *, CASE pickup_borough "
-    + " ".join(f"WHEN '{b}' THEN {i}" for i, b in enumerate(_WEIGHTS, start=1))
-    + " END AS LocationID FROM skewed)"
-)
-
 _K = "regexp_extract(props,'\"k\": ([0-9]+)',1)"
 
 # ---- the dirty table: rank rows by each class's draw, take the exact number
@@ -131,7 +124,7 @@ dirty AS (
   SELECT * EXCLUDE (copied) FROM changed
   UNION ALL SELECT * EXCLUDE (copied) FROM changed WHERE copied)"""
 
-_BAD_DATE = "try_strptime(pickup_date,'%Y-%m-%d') IS NULL"
+_BAD_DATE = "pickup_date IS NOT NULL AND try_strptime(pickup_date,'%Y-%m-%d') IS NULL"
 _OUT_DATE = (
     "coalesce(try_strptime(pickup_date,'%Y-%m-%d')::date NOT BETWEEN DATE '2024-01-01' AND DATE '2026-12-31', false)"
 )
@@ -193,25 +186,6 @@ _MANIFEST = (
     + ") SELECT metric, value, detail FROM m"
 )
 
-_TASKS = f"""tasks AS (
-  SELECT instr('cepsv', substr(event_type,1,1))::bigint AS stage, event_type, user_id, {_K}::bigint AS k,
-    CASE WHEN {_K}::bigint = 0 THEN NULL
-         ELSE (round_even(value*1000,0))::bigint/1000.0::double END AS seconds
-  FROM events)"""
-_STAGE_REPORT = f"""WITH {_TASKS}, agg AS (
-  SELECT stage, count(seconds) AS tasks, median(seconds) AS med, max(seconds) AS mx,
-    sum(round_even(seconds*1000,0)::bigint)::bigint AS ms, sum(user_id+k)::bigint AS shuffle_read,
-    sum(user_id*1024)::bigint AS shuffle_write, sum(k*10)::bigint AS spill_disk,
-    sum(CASE WHEN k>50 THEN k ELSE 0 END)::bigint AS records_read, min(event_type) AS name
-  FROM tasks GROUP BY stage),
-report AS (
-  SELECT stage, tasks, {_round('med')} AS median_s, {_round('mx')} AS max_s, {_round('ms/1000', 1)} AS total_s,
-    CASE WHEN med>0 THEN {_round('mx/med', 1)} END AS skew_ratio,
-    coalesce(CASE WHEN med>0 THEN {_round('mx/med', 1)} END >= 3, false) AS straggler,
-    shuffle_read, shuffle_write, spill_disk, records_read, name, 'org.example.'||name AS details
-  FROM agg WHERE tasks>0)"""
-
-
 def _histogram(rows: str) -> str:
     """Bins by comparing every value with the bin's own edges."""
     return f"""WITH {rows}, e AS (
@@ -227,12 +201,62 @@ def _by_nation() -> str:
 FROM lineitem LEFT JOIN supplier ON l_suppkey=s_suppkey GROUP BY 1"""
 
 
-_SKEW_JOIN = f"""WITH {_ZONE_CTE}, {_SKEW_KEYED}
-SELECT Zone, count(*) AS trips, sum(round_even(value*100,0)::bigint)::bigint AS value_cents
-FROM keyed LEFT JOIN zones USING (LocationID) GROUP BY 1"""
+_SKEW_JOIN = """SELECT source, first_source, count(*) AS documents, sum(n_chars)::bigint AS chars
+FROM documents LEFT JOIN (SELECT lang, min(source) AS first_source FROM documents GROUP BY 1) USING (lang) GROUP BY ALL"""
 
 _LAYOUTS = "(VALUES ('csv'),('json'),('flat'),('partitioned'),('small')) l(layout)"
 
+# The columns of the tables, with how their values are written as text.
+_COLUMNS = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal:number c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal:number",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice:number",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice:number o_orderdate:time o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity:number l_extendedprice:number"
+    " l_discount:number l_tax:number l_returnflag l_linestatus l_shipdate:time",
+    "events": "event_id ts:time user_id event_type value:number props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding:numbers label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
+_AS_TEXT = {
+    "": "{}::varchar",
+    "number": "{}::double::decimal(38,6)::varchar",
+    "time": "epoch_us({})::varchar",
+    "numbers": "array_to_string(list_transform({}, lambda x: coalesce('V'||strlen(x::double::decimal(38,6)::varchar)"
+    "||':'||x::double::decimal(38,6)::varchar, 'N')), ',')",
+}
+
+
+def _fingerprint(name: str) -> str:
+    """The table's rows as text, their MD5 in four numbers, and the sums of these."""
+    parts = []
+    for column in sorted(_COLUMNS[name].split()):
+        column, _, kind = column.partition(":")
+        text = _AS_TEXT[kind].format(f'"{column}"')
+        parts.append(f"'{column}=' || coalesce('V'||strlen({text})||':'||{text}, 'N')")
+    sums = " || ':' || ".join(
+        f"coalesce(sum(('0x'||substr(h,{1 + 8 * i},8))::bigint), 0)::varchar" for i in range(4)
+    )
+    return (
+        f"SELECT '{name}' AS source, count(*) AS rows, {sums} AS content "
+        f"FROM (SELECT md5({" || ';' || ".join(parts)}) AS h FROM {name})"
+    )
+
+
+def _dimension(name: str, key: str) -> str:
+    return f"""SELECT '{name}.{key}' AS dimension, coalesce(sum(n),0)::bigint AS row_count, count({key}) AS key_count,
+  coalesce(sum(n) FILTER (WHERE {key} IS NULL),0)::bigint AS missing_keys,
+  count(*) FILTER (WHERE n>1 AND {key} IS NOT NULL) AS repeated_keys,
+  coalesce(sum(n),0) > 100 AND count(*) FILTER (WHERE {key} IS NULL OR n>1) = 0 AS accepted
+FROM (SELECT {key}, count(*) AS n FROM {name} GROUP BY 1)"""
+
+
 ORACLE: dict[str, str] = {
     "key_share": f"""WITH {_ZONE_CTE}
 SELECT coalesce(Borough,'Unknown') AS pickup_borough, count(*) AS trips,
@@ -243,10 +267,9 @@ SELECT coalesce(Borough,'Unknown') AS pickup_borough, count(*) AS trips,
 FROM lineitem LEFT JOIN supplier ON l_suppkey=s_suppkey LEFT JOIN zones ON s_nationkey=LocationID
 GROUP BY 1 ORDER BY share DESC, pickup_borough""",
     "curate_wide": _CURATED,
-    "dominant_key": f"""WITH {_SKEWED}
-SELECT pickup_borough, count(*) AS n, count(*)/(SELECT count(*) FROM skewed) AS share,
-  count(*)/(SELECT count(*) FROM skewed) >= 0.5 AS dominates
-FROM skewed GROUP BY 1 ORDER BY n DESC, pickup_borough LIMIT 1""",
+    "dominant_key": """SELECT lang, count(*) AS n, count(*)/(SELECT count(lang) FROM documents) AS share,
+  count(*)/(SELECT count(lang) FROM documents) >= 0.5 AS dominates
+FROM documents WHERE lang IS NOT NULL GROUP BY 1 ORDER BY n DESC, lang LIMIT 1""",
     "distinct_values": "SELECT DISTINCT p_type FROM part ORDER BY p_type",
     "bucket_groups": "SELECT count(DISTINCT o_orderkey%97) AS groups FROM orders",
     "bucket_counts": "SELECT o_orderkey%97 AS k, count(*) AS n FROM orders GROUP BY 1",
@@ -285,21 +308,6 @@ FROM customer""",
 WHERE r <= (SELECT floor(count(*)*0.02::double) FROM events)""",
     "weighted_key": f"""WITH {_SKEWED}
 SELECT pickup_borough, count(*) AS n, count(*)/(SELECT count(*) FROM events) AS share FROM skewed GROUP BY 1""",
-    "fallback_dimension": f"""WITH ids AS (SELECT i AS LocationID FROM range(1,266) t(i)),
-placed AS (SELECT LocationID, row_number() OVER (ORDER BY {_draw('LocationID', 'borough')}) AS p FROM ids),
-dim AS (
-  SELECT CASE WHEN p<=69 THEN 'Manhattan' WHEN p<=138 THEN 'Queens' WHEN p<=199 THEN 'Brooklyn'
-              WHEN p<=242 THEN 'Bronx' ELSE 'Staten Island' END AS Borough,
-    format('Zone {{:03d}}', LocationID) AS Zone, {_weighted('LocationID', 'service_zone', _SERVICE)} AS service_zone, LocationID
-  FROM placed),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY Borough ORDER BY LocationID)-1 AS place FROM dim),
-drawn AS (SELECT event_id, {_weighted('event_id', 'pickup', _FIVE)} AS Borough FROM events),
-placed_events AS (
-  SELECT Borough, {_number('event_id', 'zone')} %
-    CASE Borough {' '.join(f"WHEN '{b}' THEN {n}" for b, n in _ZONES.items())} END AS place
-  FROM drawn)
-SELECT Borough, service_zone, count(*) AS trips, min(Zone) AS first_zone, max(Zone) AS last_zone
-FROM placed_events LEFT JOIN numbered USING (Borough, place) GROUP BY ALL""",
     "slice_rows": """SELECT * EXCLUDE (r, n) FROM (
   SELECT *, row_number() OVER (ORDER BY event_id)-1 AS r, count(*) OVER () AS n FROM events)
 WHERE r >= floor(n/4) AND r < floor(n/2)""",
@@ -341,36 +349,57 @@ FROM dirty GROUP BY 1""",
   {_round('ms/1000', 1)} AS total_s, {_round('mx/med', 1)} AS skew_ratio, {_round('mx/med', 1)}>=3 AS straggler
 FROM (SELECT event_type, count(*) AS tasks, median(value) AS med, max(value) AS mx,
         sum(round_even(value*1000,0)::bigint)::bigint AS ms FROM events GROUP BY 1)""",
-    "partition_balance": f"""WITH {_SKEWED}, b AS (
-  SELECT 'plain' AS variant, {_number('pickup_borough', 'part')} % 16 AS bucket FROM skewed
-  UNION ALL SELECT 'salted', {_number("(pickup_borough||'#'||(" + _number('event_id', 'salt') + " % 32))", 'part')} % 16 FROM skewed),
-c AS (SELECT variant, bucket, count(*) AS n FROM b GROUP BY ALL)
-SELECT variant, count(*) AS partitions, sum(n)::bigint AS total_rows, median(n) AS median_rows, max(n) AS max_rows,
-  CASE WHEN median(n)>0 THEN {_round('max(n)/median(n)', 1)} END AS skew_ratio
-FROM c GROUP BY 1""",
-    "stage_report": f"{_STAGE_REPORT} SELECT * FROM report",
-    "task_histogram": _histogram(
-        f"{_TASKS}, v AS (SELECT seconds AS x FROM tasks WHERE stage=3 AND seconds IS NOT NULL)"
+    "nested_fields": f"""SELECT event_id, coalesce(json_extract(props,'$.k')::bigint,0) AS k, 0::bigint AS net_bytes,
+  value/1000 AS seconds, coalesce(json_extract(props,'$.k')::bigint,0)/1048576.0::double AS megabytes
+FROM events WHERE event_type='click'""",
+    "sane_intervals": """SELECT l_orderkey, l_linenumber, o_orderstatus <> 'P' AND l_shipdate >= o_orderdate AS sane,
+  CASE WHEN o_orderstatus <> 'P' AND l_shipdate >= o_orderdate
+       THEN (epoch_us(l_shipdate)-epoch_us(o_orderdate))/1000000.0::double END AS seconds
+FROM lineitem JOIN orders ON l_orderkey=o_orderkey""",
+    "dimension_gate": " UNION ALL ".join(
+        _dimension(*x)
+        for x in (
+            ("nation", "n_nationkey"), ("customer", "c_custkey"), ("customer", "c_nationkey"),
+            ("part", "p_partkey"), ("pages", "page_id"), ("labels", "doc_id"), ("lineitem", "l_orderkey"),
+        )
     ),
-    "run_table": f"""{_STAGE_REPORT}
-SELECT 'baseline' AS variant, {_round('12.345::double')} AS wall_s, count(*) AS stages,
-  coalesce(max(skew_ratio),0.0::double) AS max_skew, {_round('sum(shuffle_write)::bigint/1048576', 1)} AS shuffle_write_mb FROM report
-UNION ALL SELECT 'stragglers only', {_round('6.5::double')}, count(*), coalesce(max(skew_ratio),0.0::double),
-  {_round('coalesce(sum(shuffle_write),0)::bigint/1048576', 1)} FROM report WHERE straggler""",
+    "report_totals": f"""SELECT count(*) AS stages, sum(tasks)::bigint AS tasks, max({_round('mx')}) AS longest_s,
+  coalesce(max({_round('mx/med', 1)}),0.0::double) AS max_skew, count(*) FILTER (WHERE {_round('mx/med', 1)} >= 3) AS stragglers
+FROM (SELECT event_type, count(*) AS tasks, median(value) AS med, max(value) AS mx FROM events GROUP BY 1)""",
+    "fingerprint": " UNION ALL ".join(_fingerprint(name) for name in _COLUMNS),
+    "text_roundtrip": """SELECT doc_id AS id, ' '||text AS body, nullif(lang,'de') AS lang,
+  CASE source WHEN 'src1' THEN 'NA' ELSE source END AS place, l.layout
+FROM documents, (VALUES ('documents csv'),('documents json')) l(layout)
+UNION ALL SELECT page_id, html, '', url, l.layout FROM pages, (VALUES ('pages csv'),('pages json')) l(layout)""",
+    "layout_sizes": """SELECT l.layout, l.files::bigint AS files, true AS has_bytes
+FROM (VALUES ('csv',3),('json',4),('flat',5),('small',50)) l(layout, files)""",
+    "append_days": """SELECT event_id, value, strftime(ts,'%Y-%m-%d') AS pickup_date, d.delivery
+FROM events, (VALUES (1),(2)) d(delivery)""",
+    "skip_if_built": """SELECT o_orderkey, o_totalprice, 'skipped' AS build FROM orders
+UNION ALL SELECT o_orderkey, o_totalprice+1, 'forced' FROM orders""",
+    "replicate_csv": """WITH e AS (
+  SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) AS r, count(*) OVER () AS n FROM events),
+size AS (SELECT sum(strlen(event_id::varchar)+strlen(event_type)+2)::double AS total, count(*) AS n FROM events),
+goal AS (SELECT ceil(floor(total/n*n*2.5::double)/(total/n))::bigint AS goal FROM size)
+SELECT event_id, event_type, c AS copy FROM (
+  SELECT e.*, unnest(range(0, goal//n + CASE WHEN r <= goal % n THEN 1 ELSE 0 END)) AS c FROM e, goal)""",
     "layout_roundtrip": f"SELECT *, strftime(ts,'%Y-%m-%d') AS pickup_date FROM events, {_LAYOUTS}",
     "layout_fingerprints": f"SELECT layout, count(*) AS rows, true AS same_content FROM events, {_LAYOUTS} GROUP BY 1",
     "partition_prune": """SELECT layout, event_type, count(*) AS n, sum(round_even(value*100,0)::bigint)::bigint AS value_cents
 FROM events, (VALUES ('partitioned'),('flat')) l(layout) WHERE strftime(ts,'%Y-%m-%d')='2024-01-10' GROUP BY 1,2""",
     "column_prune": f"""WITH {_ZONE_CTE}
 SELECT coalesce(Borough,'Unknown') AS pickup_borough, count(*) AS n, count(*)/(SELECT count(*) FROM lineitem) AS share
-FROM lineitem JOIN supplier ON l_suppkey=s_suppkey LEFT JOIN zones ON s_nationkey=LocationID GROUP BY 1""",
+FROM lineitem LEFT JOIN supplier ON l_suppkey=s_suppkey LEFT JOIN zones ON s_nationkey=LocationID GROUP BY 1""",
     "compact_files": "SELECT * FROM events",
     "idempotent_day": """SELECT event_id, strftime(ts,'%Y-%m-%d') AS pickup_date,
   CASE WHEN strftime(ts,'%Y-%m-%d')='2024-01-02' THEN value+1 ELSE value END AS value FROM events""",
-    "artifact_check": """SELECT DISTINCT strftime(ts,'%Y-%m-%d') AS pickup_date FROM events
-EXCEPT SELECT strftime(ts,'%Y-%m-%d') FROM events WHERE value > 300""",
+    "artifact_check": """WITH daily AS (
+  SELECT CASE WHEN event_id % 10 = 3 THEN '31/02/2024' ELSE strftime(ts,'%Y-%m-%d') END AS pickup_date, value FROM events)
+SELECT DISTINCT pickup_date FROM daily EXCEPT SELECT pickup_date FROM daily WHERE value > 300""",
     "dataset_floor": """SELECT count(*) AS row_count, count(DISTINCT date_trunc('month',l_shipdate)) AS month_count,
-  count(*) >= 40000000 AS rows_ok, count(DISTINCT date_trunc('month',l_shipdate)) >= 6 AS months_ok FROM lineitem""",
+  count(*) >= 40000000 AS rows_ok, count(DISTINCT date_trunc('month',l_shipdate)) >= 6 AS months_ok,
+  sum(72+strlen(l_returnflag)+strlen(l_linestatus))::bigint AS raw_bytes,
+  sum(72+strlen(l_returnflag)+strlen(l_linestatus)) >= 3000000000 AS bytes_ok FROM lineitem""",
     "csv_null_tokens": """SELECT c_custkey, nullif(nullif(c_mktsegment,'FURNITURE'),'MACHINERY') AS c_mktsegment,
   nullif(c_nationkey,7) AS c_nationkey FROM customer""",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faregate import schemas
 from faregate.functions import calendar, rounding
-from faregate.operators import sampling
+from faregate.operators import joins, sampling
 from faregate.operators.defects import DirtyColumns
 from faregate.operators.joins import broadcast_if_small
 
@@ -36,17 +36,20 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The supplier's nation is the pick-up zone, the customer's the drop-off
     zone. Customers meet orders before lines do, so the join on the customer
-    key runs on the smaller table.
+    key runs on the smaller table. A line whose order, customer or supplier is
+    not there stays, without their values. Suppliers are broadcast where they
+    are few; beyond, hot ones are salted.
     """
     line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    placed = order.join(customer, order.o_custkey == customer.c_custkey).select(
+    placed = order.join(customer, order.o_custkey == customer.c_custkey, "left").select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "c_nationkey"
     )
-    joined = line.join(placed, line.l_orderkey == placed.o_orderkey).join(
-        supplier, line.l_suppkey == supplier.s_suppkey
+    supplied = joins.join_or_salt(
+        line, supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey", ["l_orderkey", "l_linenumber"]
     )
+    joined = supplied.join(placed, supplied.l_orderkey == placed.o_orderkey, "left")
     status = F.col("o_orderstatus")
     raw = joined.select(
         F.col("l_linenumber").alias("VendorID"),

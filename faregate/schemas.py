@@ -56,6 +56,7 @@ TRIP_DEFAULTS = {
     "airport_fee": 0.0,
 }
 
+# The columns of the zone lookup.
 ZONE_SCHEMA = T.StructType(
     [
         T.StructField("LocationID", T.IntegerType()),

@@ -6,6 +6,8 @@ visible in the stage report; ``production`` leaves every run-time remedy on.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -66,13 +68,13 @@ def build_session(
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Set the shuffle width for an input: about 256 MB each, 200 to 100,000 partitions.
+    """Set the shuffle width for an input: about 256 MB each, at least 200 partitions.
 
     Adaptive execution joins partitions that turn out small, so a wide start
     costs little; too narrow a start spills. Hot keys are judged against this
     width as well.
     """
-    partitions = min(max(input_bytes // (256 << 20), 200), 100_000)
+    partitions = max(input_bytes // (256 << 20), 200)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return partitions
 
@@ -100,11 +102,17 @@ def variant_session(spark: SparkSession, settings: dict[str, str]) -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the checkpoint folder the cluster names.
 
-    Only where no checkpoint folder is set (tests, a laptop) a local temporary
-    folder is made and set as the checkpoint folder.
+    On several machines a folder of one machine would lose what the others
+    write, so there a missing setting is an error. Only where driver and tasks
+    share one process (``local`` masters: tests, a laptop) a temporary folder is
+    made; it is removed when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="faregate-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/faregate-{uuid.uuid4().hex}"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faregate import schemas
-from faregate.operators.layout import NTZ_TEXT
+from faregate.operators import layout
 
 
 class UnreadableTimestamps(ValueError):
@@ -31,26 +31,34 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(path)
 
 
-def read_csv(
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV that ``layout.write_csv`` wrote: every value as it was, an empty field is a missing value."""
+    raw = _csv_texts(spark, path, schema)
+    return raw.select(
+        *[
+            (layout.unescaped(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`"))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def read_foreign_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     null_tokens: tuple[str, ...] = schemas.CSV_NULL_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header; every pandas null text becomes a missing value.
+    """CSV of another tool; every pandas null text becomes a missing value.
 
     Spark knows one null text per read, so columns are read as text and cast
     in the same projection. A value that does not fit its type is an error,
-    as the cast is the strict one.
+    as the cast is the strict one. With ``multi_line`` quoted line breaks are
+    read as such, at the price of one task per file.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (
-        spark.read.schema(text)
-        .option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    raw = _csv_texts(spark, path, schema, multi_line)
     tokens = [token for token in null_tokens if token]
     return raw.select(
         *[
@@ -62,11 +70,23 @@ def read_csv(
     )
 
 
+def _csv_texts(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    return (
+        spark.read.schema(text)
+        .option("header", True)
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
+
+
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON lines; blank and broken lines are skipped."""
+    """JSON lines; blank lines are skipped, a broken line is an error."""
     return (
         spark.read.schema(schema)
-        .option("mode", "DROPMALFORMED")
-        .option("timestampNTZFormat", NTZ_TEXT)
+        .option("mode", "FAILFAST")
+        .option("timestampNTZFormat", layout.NTZ_TEXT)
         .json(path)
     )

@@ -69,7 +69,7 @@ def test_a_broken_lookup_gives_the_fallback(spark, tmp_path):
 def test_command_line(spark, built, event_dir, capsys):
     out = built[0]
     assert cli.main(["verify", "--out", out]) == 0
-    assert "all paths present" in capsys.readouterr().out
+    assert "every expected table is there" in capsys.readouterr().out
     assert cli.main(["verify", "--out", f"{out}-nowhere"]) == 1
     assert cli.main(["stages", "--event-dir", event_dir]) == 0
     assert "skew_ratio" in capsys.readouterr().out

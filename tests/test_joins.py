@@ -86,26 +86,35 @@ def test_hot_keys_are_bounded_by_their_share(spark):
     assert shares.hot_keys(df, "k", 0.011).count() == 0
 
 
-def test_adaptive_execution_splits_the_skewed_partition(spark):
-    adaptive = variant_session(
-        spark,
-        {
-            **SQL_PROFILES["production"],
-            "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.shuffle.partitions": "8",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-        },
-    )
-    big = "/root/testdata/sf0.1"
-    fact = trips.skewed_trips(adaptive, big).repartition(8)
-    zones = trips.zones(adaptive, big).select("LocationID", "Zone")
-    joined = joins.join_dimension(fact, zones, "LocationID", "merge")
-    plan = executed_plan(catalog._by_zone(joined))
+def test_the_registered_query_splits_the_skewed_partition(spark):
+    plan = executed_plan(catalog.join_skew_aqe(spark, "/root/testdata/sf0.01"))
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_nested_bytes_count_before_a_broadcast(spark):
+    wide = spark.range(1_000).select("id", F.array_repeat(F.lit(1), 1_000).alias("a"), F.struct(F.lit("xy").alias("t")).alias("s"))
+    assert wide.agg(F.sum(joins.held_bytes(wide))).first()[0] == 1_000 * (8 + 8 + 8_000 + 8 + 8 + 2)
+    plan = joins.broadcast_if_small(wide, 2_000, 1_000_000)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan
+
+
+def test_orphans_stay_and_hot_suppliers_are_salted(spark, out, monkeypatch):
+    """A supplier with a third of all lines, lines without a partner, adaptive execution off."""
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    lines = lines.withColumn("l_suppkey", F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_suppkey")).cast("bigint"))
+    orphans = lines.limit(7).withColumns({"l_orderkey": F.lit(-1).cast("bigint"), "l_suppkey": F.lit(-1).cast("bigint")})
+    lines.unionByName(orphans).write.parquet(f"{out}/lineitem.parquet")
+    for name in ("orders", "customer", "supplier", "nation", "region"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{out}/{name}.parquet")
+    wanted = lines.count() + 7
+    assert catalog.curate_wide(spark, out).count() == wanted
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (3, 64 << 20))
+    fixed = variant_session(spark, {**SQL_PROFILES["teaching"], "spark.sql.autoBroadcastJoinThreshold": "-1"})
+    df = catalog.curate_wide(fixed, out)
+    assert "__salt" in planned(df) and df.count() == wanted
+
+
 def test_curate_neither_shuffles_nor_sorts(spark):
     raw = spark.read.schema(trips.schemas.TRIP_SCHEMA).parquet(f"{SF}/region.parquet")
     zones = trips.zones(spark, SF)

@@ -37,7 +37,7 @@ def test_text_formats_keep_microseconds_quotes_and_nulls(spark, out):
 def test_csv_null_tokens_and_pandas_booleans(spark, tmp_path):
     path = tmp_path / "z.csv"
     path.write_text('LocationID,Borough,Zone,service_zone\n1,EWR,"Newark, Airport",EWR\n264,N/A,NV,nan\n265,,Outside,NA\n')
-    rows = tables.read_csv(spark, str(path), ZONE_SCHEMA).orderBy("LocationID").collect()
+    rows = tables.read_foreign_csv(spark, str(path), ZONE_SCHEMA).orderBy("LocationID").collect()
     assert [tuple(r) for r in rows] == [
         (1, "EWR", "Newark, Airport", "EWR"),
         (264, None, "NV", None),
@@ -48,7 +48,7 @@ def test_csv_null_tokens_and_pandas_booleans(spark, tmp_path):
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("b", T.BooleanType())])
-    assert [r[0] for r in tables.read_csv(spark, str(flags), schema).collect()] == [True, False]
+    assert [r[0] for r in tables.read_foreign_csv(spark, str(flags), schema).collect()] == [True, False]
 
 
 def test_partition_column_stays_text_and_prunes(spark, daily, out):
@@ -118,3 +118,47 @@ def test_nanosecond_timestamps_are_named(spark, tmp_path):
     pq.write_table(pa.table({"t": pa.array([1], pa.timestamp("ns"))}), path, version="2.6")
     with pytest.raises(tables.UnreadableTimestamps):
         tables.read_parquet(spark, path)
+
+
+def test_awkward_texts_survive_text_formats(spark, out):
+    texts = ["a\nb", "a\r\nb", "\\n", "\\\\s\\", "NA", "None", "", " lead", "trail ", '"q", \'', "\n", None, "x,y", "\u2028é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, s string")
+    layout.write_csv(df, f"{out}/csv")
+    layout.write_ndjson(df, f"{out}/json")
+    for back in (tables.read_csv(spark, f"{out}/csv", df.schema), tables.read_ndjson(spark, f"{out}/json", df.schema)):
+        assert [r["s"] for r in back.orderBy("k").collect()] == texts
+
+
+def test_a_broken_json_line_is_an_error(spark, tmp_path):
+    path = tmp_path / "x.json"
+    path.write_text('{"a": 1}\n{"a": \n{"a": 3}\n')
+    from pyspark.sql import types as T
+
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_ndjson(spark, str(path), T.StructType([T.StructField("a", T.LongType())])).collect()
+
+
+def test_sizes_below_a_root_whose_name_recurs(spark, out):
+    root = f"{out}/data/x/data"
+    layout.write_parquet(spark.range(5), f"{root}/one")
+    layout.write_parquet(spark.range(5), f"{root}/two")
+    assert {r["layout"] for r in layout.layout_sizes(spark, root).collect()} == {"one", "two"}
+
+
+def test_partition_values_are_read_as_they_were(spark, out):
+    days = ["31/02/2024", "a b", "a+b", "100%", "2024-01-01", None]
+    df = spark.createDataFrame([(d, i) for i, d in enumerate(days)], "day string, v int")
+    layout.write_partitioned(df, out, "day")
+    files = layout.partition_files(spark, out, "day")
+    assert {r["day"] for r in files.collect()} == set(days)
+    assert layout.missing_artifacts(df, files, "day").count() == 0
+
+
+def test_quoted_line_breaks_of_other_tools(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    path = tmp_path / "p.csv"
+    path.write_text('a,b\n1,"x\ny"\n2,NA\n')
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    rows = tables.read_foreign_csv(spark, str(path), schema, multi_line=True).orderBy("a").collect()
+    assert [tuple(r) for r in rows] == [(1, "x\ny"), (2, None)]

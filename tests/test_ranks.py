@@ -109,5 +109,34 @@ def test_more_groups_than_the_fine_grid_serves(spark):
     assert got == {g: statistics.median(v) for g, v in groups.items()}
 
 
-def test_shuffled_keeps_all_rows(spark):
-    assert sorted(r[0] for r in ranks.shuffled(spark.range(50), 3).collect()) == list(range(50))
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+@pytest.mark.parametrize("size", [9_999, 10_000, 10_001])
+def test_ties_and_missing_keys_mean_the_same_at_every_size(spark, monkeypatch, rounds, size):
+    monkeypatch.setattr(ranks, "_rounds_for", lambda rows, grid: rounds)
+    keys = [i % 100 for i in range(20_000)] + [None] * 5
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    last = sorted(k for k in keys if k is not None)[size - 1]
+    got = sorted(r[0] for r in ranks.first_rows(df, "k", size).collect())
+    assert got == sorted(k for k in keys if k is not None and k <= last)
+
+
+@pytest.mark.parametrize("rows", [10, 10_001])
+def test_text_keys_are_refused_at_every_size(spark, rows):
+    df = spark.createDataFrame([("a",)], "k string")
+    for call in (lambda: ranks.first_rows(df, "k", rows), lambda: ranks.slice_rows(df, "k", 0, rows)):
+        with pytest.raises(TypeError, match="numbers or times"):
+            call()
+
+
+def test_a_missed_bracket_is_searched_again(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "_rounds_for", lambda rows, grid: 1)
+    calls, real = [], ranks._bracket
+
+    def unlucky(mine, first, last, dtype):
+        calls.append(1)
+        if len(calls) == 1:  # far beside the wanted rank
+            return F.struct(F.max(F.col("high")).cast(dtype).alias("lo"), F.max(F.col("high")).cast(dtype).alias("hi"))
+        return real(mine, first, last, dtype)
+
+    monkeypatch.setattr(ranks, "_bracket", unlucky)
+    assert ranks.first_rows(spark.range(1_000), "id", 100).count() == 100 and len(calls) == 2

@@ -93,3 +93,10 @@ def test_union_of_versions_fills_the_late_column(spark):
     new = spark.createDataFrame([(0.75, 2)], "fee double, k int")
     rows = replicate.union_versions(old, new).orderBy("k").collect()
     assert [(r["k"], r["fee"]) for r in rows] == [(1, None), (2, 0.75)]
+
+
+def test_rows_without_a_key_are_repeated_too(spark):
+    df = spark.createDataFrame([(i if i >= 5 else None,) for i in range(20)], "k bigint")
+    assert replicate.replicate_rows(df, "k", 50).count() == 50
+    with pytest.raises(ValueError, match="have no k"):
+        replicate.replicate_rows(df, "k", 58)

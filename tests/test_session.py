@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+import pytest
+
 from faregate.session import SQL_PROFILES, shared_folder, size_shuffles, variant_session
 
 
@@ -22,9 +24,9 @@ def test_variants_inherit_what_the_caller_set(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def fake(conf_dir, context_dir):
+def fake(conf_dir, context_dir, master="local[2]"):
     made = []
-    context = SimpleNamespace(getCheckpointDir=lambda: context_dir, setCheckpointDir=made.append)
+    context = SimpleNamespace(getCheckpointDir=lambda: context_dir, setCheckpointDir=made.append, master=master)
     conf = SimpleNamespace(get=lambda name, default: conf_dir if name == "spark.checkpoint.dir" else default)
     return SimpleNamespace(conf=conf, sparkContext=context), made
 
@@ -42,7 +44,15 @@ def test_a_local_folder_only_where_none_is_set():
     assert shared_folder(session).startswith(made[0])
 
 
+def test_no_local_folder_on_several_machines():
+    for master in ("spark://head:7077", "yarn", "local-cluster[2,1,1024]"):
+        session, made = fake(None, None, master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+        assert not made
+
+
 def test_shuffle_width_follows_the_input(spark):
     sizing = variant_session(spark, {})
-    assert [size_shuffles(sizing, n) for n in (0, 10**12, 10**14)] == [200, 3725, 100_000]
-    assert sizing.conf.get("spark.sql.shuffle.partitions") == "100000"
+    assert [size_shuffles(sizing, n) for n in (0, 10**12, 10**14)] == [200, 3725, 372_529]
+    assert sizing.conf.get("spark.sql.shuffle.partitions") == "372529"
