@@ -51,11 +51,12 @@ class DirtyColumns:
 
 def _picks() -> dict[str, Pick]:
     picks = {
-        f"__{name}": Pick(name, share_of_rows(rate)) for name, rate in DEFECT_RATES.items()
+        f"__{name}": Pick(f"defects{i // 4}", share_of_rows(rate), i % 4)
+        for i, (name, rate) in enumerate(DEFECT_RATES.items())
     }
-    dated = share_of_rows(DEFECT_RATES["out_of_range_date"])
-    # Same salt, half the rows: these are the first half of the misdated ones.
-    picks["__early_date"] = Pick("out_of_range_date", lambda n: dated(n) // 2)
+    dated = picks["__out_of_range_date"]
+    # The same draw, half the rows: these are the first half of the misdated ones.
+    picks["__early_date"] = Pick(dated.salt, lambda n: dated.size(n) // 2, dated.turn)
     return picks
 
 
@@ -67,8 +68,11 @@ def inject_defects(clean: DataFrame, columns: DirtyColumns) -> DataFrame:
     the date text only.
     """
     c = columns
-    flagged = with_picks(clean, c.key, _picks())
-    (appears,) = keys_at_ranks(clean, c.key, [lambda n: F.floor(n * F.lit(DRIFT_FROM))])
+    total = clean.count()
+    flagged = with_picks(clean, c.key, _picks(), total)
+    (appears,) = keys_at_ranks(
+        clean.select(c.key), c.key, [lambda n: F.floor(n * F.lit(DRIFT_FROM))], total
+    )
     fare, seconds = F.col(c.fare), F.col(c.duration)
     changed = flagged.withColumns(
         {

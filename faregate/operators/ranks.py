@@ -26,6 +26,7 @@ FEW_GROUPS = 1_000  # up to here each group gets the fine grid of quantiles
 FINE_GRID, COARSE_GRID = 1_000, 50
 RANKED_ROWS = 1_000_000  # at most this many rows are ranked in one task
 MISSED = "rank bracket missed its value"
+_FORCED_ROUNDS: int | None = None  # set by tests
 
 RankOf = Callable[[Column], Column]
 
@@ -101,6 +102,21 @@ def _lost(value: Column) -> Column:
     return F.ceil(F.abs(value.cast("double")) / F.lit(float(1 << 51))).cast("bigint")
 
 
+def _ranked_at_once(
+    rows: DataFrame, by: list[str], targets: dict[str, list[RankOf]], dtype: T.DataType
+) -> DataFrame:
+    """The same for a table of few enough rows: distinct values are counted, then ranked."""
+    group = Window.partitionBy(*by)
+    counted = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    reached = counted.withColumn("__cum", F.sum("__c").over(group.orderBy("__v")))
+    reached = reached.withColumn("n", F.sum("__c").over(group))
+    n, found = F.col("n"), []
+    for name, ranks in targets.items():
+        values = [F.min(F.when((F.col("__cum") > rank(n)) & (rank(n) >= 0), F.col("__v"))) for rank in ranks]
+        found.append(F.array(*values).cast(T.ArrayType(dtype)).alias(name))
+    return reached.groupBy(*by).agg(F.max("n").alias("n"), *found)
+
+
 def values_at_ranks(
     df: DataFrame,
     value: str,
@@ -108,6 +124,7 @@ def values_at_ranks(
     by: Sequence[str] = (),
     rounds: int | None = None,
     slack: int = 1,
+    total: int | None = None,
 ) -> DataFrame:
     """Per group: ``n`` and, for each target, the exact values at its ranks.
 
@@ -115,19 +132,23 @@ def values_at_ranks(
     rank; the ranks of one target lie close together, in rising order (a median
     needs two neighbours). Its column is an array with one value per rank, null
     where the rank lies outside the group. Nulls in ``value`` do not count.
-    ``slack`` widens the brackets.
+    ``slack`` widens the brackets; ``total`` is the table's row count, if known.
     """
     _checked_kind(df, value)
     by = list(by)
     targets = {name: [_whole(rank) for rank in ranks] for name, ranks in targets.items()}
     dtype = df.schema[value].dataType
     rows = df.select(*by, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
+    if rounds is None and (total := df.count() if total is None else total) <= RANKED_ROWS:
+        rounds = 0
+    if rounds == 0:
+        return _ranked_at_once(rows, by, targets, dtype)
     groups = rows.select(*by).distinct().limit(BROADCAST_ROWS + 1).count() if by else 1
     few = groups <= BROADCAST_ROWS
     fine = groups <= FEW_GROUPS
     shape = (FINE_GRID, max(1, SLOTS // max(groups, 1))) if fine else (COARSE_GRID, 1)
     if rounds is None:
-        rounds = _rounds_for(df.count(), shape[0])
+        rounds = _rounds_for(total, shape[0])
     v, n = F.col("__v"), F.col("n")
 
     def entries(brackets: DataFrame) -> DataFrame:
@@ -157,14 +178,9 @@ def values_at_ranks(
             found.append(_bracket(mine, first, last, dtype).alias(name))
         return points.groupBy(*by).agg(F.struct(F.max("n").alias("n"), *found).alias("__b"))
 
-    if rounds == 0:  # few enough rows to rank them all
-        whole = F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))
-        brackets = rows.groupBy(*by).agg(
-            F.struct(F.count(v).alias("n"), *[whole.alias(name) for name in targets]).alias("__b")
-        )
-    else:  # one set of points serves all targets at first; later each has its own
-        everything = rows.withColumn("n", F.lit(None).cast("bigint"))
-        brackets = brackets_from(_points(everything, by, *shape, slack), per_target=False)
+    # one set of points serves all targets at first; later each has its own
+    everything = rows.withColumn("n", F.lit(None).cast("bigint"))
+    brackets = brackets_from(_points(everything, by, *shape, slack), per_target=False)
     for _ in range(rounds - 1):
         brackets = brackets_from(_points(entries(brackets), [*by, "__t"], *shape, slack), per_target=True)
 
@@ -227,7 +243,7 @@ def _checked_kind(df: DataFrame, key: str) -> T.DataType:
     return kind
 
 
-def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[RankOf]) -> list[Column]:
+def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[RankOf], total: int | None = None) -> list[Column]:
     """The exact keys at some ranks of the whole table, as constants.
 
     The keys are looked up now, and only they come back. As constants they are
@@ -240,7 +256,7 @@ def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[RankOf]) -> list[Colu
     as_text = isinstance(kind, T.DatetimeType)  # exact, whatever the zone of this process
     slack = 1
     while True:
-        found = values_at_ranks(df, key, targets, slack=slack)
+        found = values_at_ranks(df, key, targets, rounds=_FORCED_ROUNDS, slack=slack, total=total)
         values = [F.col(name)[0].cast("string") if as_text else F.col(name)[0] for name in targets]
         try:
             row = found.select(*[v.alias(name) for v, name in zip(values, targets)]).first()

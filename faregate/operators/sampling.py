@@ -15,10 +15,20 @@ from faregate.functions.text import numbered_label
 
 @dataclass(frozen=True)
 class Pick:
-    """``size`` rows with the smallest draws for ``salt``; size is a function of n."""
+    """``size`` rows with the smallest draws for ``salt``; size is a function of n.
+
+    A draw's 32 digits turned by 8, 16 or 24 places are draws of their own: one
+    MD5 serves four picks, told apart by ``turn`` (0 to 3).
+    """
 
     salt: str
     size: Callable[[int], int]
+    turn: int = 0
+
+    def draw(self, key: Column) -> Column:
+        text = digest.draw(key, self.salt)
+        at = 8 * self.turn
+        return F.concat(F.substring(text, at + 1, 32 - at), F.substring(text, 1, at)) if at else text
 
 
 def share_of_rows(rate: float) -> Callable[[int], int]:
@@ -26,7 +36,7 @@ def share_of_rows(rate: float) -> Callable[[int], int]:
     return lambda n: int(n * rate)
 
 
-def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> dict[str, str]:
+def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick], total: int | None = None) -> dict[str, str]:
     """For each pick the largest draw still chosen; only these texts come back.
 
     Draws are uniform, so the wanted draw lies within a few standard deviations
@@ -35,12 +45,12 @@ def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> dict[str, st
     which are then ranked. Every pick is found in the same pass. A band that
     misses (only possible when the key is not unique) raises an error.
     """
-    n = df.count()
+    n = df.count() if total is None else total
     sizes = {name: min(pick.size(n), n) for name, pick in picks.items()}
     reach = {name: (8.0 * math.sqrt(size + 1) + 32.0) / max(n, 1) for name, size in sizes.items()}
     # Draws are computed once per row, below the explode.
     drawn = df.select(
-        *[digest.draw(F.col(key), pick.salt).alias(name) for name, pick in picks.items()]
+        *[pick.draw(F.col(key)).alias(name) for name, pick in picks.items()]
     )
     entries = [
         F.when(
@@ -73,12 +83,15 @@ def pick_limits(df: DataFrame, key: str, picks: dict[str, Pick]) -> dict[str, st
     return {name: found[name] or "" for name in picks}
 
 
-def with_picks(df: DataFrame, key: str, picks: dict[str, Pick]) -> DataFrame:
-    """Add one boolean column per pick; exactly ``size`` rows are true in each."""
-    limits = pick_limits(df, key, picks)
+def with_picks(df: DataFrame, key: str, picks: dict[str, Pick], total: int | None = None) -> DataFrame:
+    """Add one boolean column per pick; exactly ``size`` rows are true in each.
+
+    ``total`` is the table's row count, if known.
+    """
+    limits = pick_limits(df, key, picks, total)
     return df.withColumns(
         {
-            name: F.coalesce(digest.draw(F.col(key), pick.salt) <= F.lit(limits[name]), F.lit(False))
+            name: F.coalesce(pick.draw(F.col(key)) <= F.lit(limits[name]), F.lit(False))
             for name, pick in picks.items()
         }
     )

@@ -46,7 +46,7 @@ def test_missing_group_key_and_missing_values(spark):
 
 @pytest.mark.parametrize("rounds", [0, 1, 2])
 def test_large_integers_beyond_double_precision(spark, monkeypatch, rounds):
-    monkeypatch.setattr(ranks, "_rounds_for", lambda rows, grid: rounds)
+    monkeypatch.setattr(ranks, "_FORCED_ROUNDS", rounds)
     base = 2**62
     df = spark.createDataFrame([(base + i,) for i in range(301)], "k bigint")
     kept = ranks.first_rows(df, "k", lambda n: n / 3)
@@ -56,7 +56,7 @@ def test_large_integers_beyond_double_precision(spark, monkeypatch, rounds):
 @pytest.mark.parametrize("start,stop", [(0, 10), (5, 5), (990, 2_000), (2_000, 3_000), (250, 750), (0, 1_000)])
 @pytest.mark.parametrize("rounds", [0, 2])
 def test_slices_by_filter_equal_sorted_slices(spark, monkeypatch, start, stop, rounds):
-    monkeypatch.setattr(ranks, "_rounds_for", lambda rows, grid: rounds)
+    monkeypatch.setattr(ranks, "_FORCED_ROUNDS", rounds)
     keys = random.Random(3).sample(range(10**9), 1_000)
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
     wanted = sorted(keys)[start:stop]
@@ -84,7 +84,7 @@ def test_a_large_head_is_a_pushed_filter_not_a_sort(spark, out):
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_time_keys_in_any_session_zone(spark, monkeypatch, zone):
-    monkeypatch.setattr(ranks, "_rounds_for", lambda rows, grid: 1)
+    monkeypatch.setattr(ranks, "_FORCED_ROUNDS", 1)
     start = dt.datetime(2024, 3, 10, 1, 0, 0, 1)
     times = [start + dt.timedelta(minutes=i) for i in range(200)]
     spark.conf.set("spark.sql.session.timeZone", zone)
@@ -112,7 +112,7 @@ def test_more_groups_than_the_fine_grid_serves(spark):
 @pytest.mark.parametrize("rounds", [0, 1, 2])
 @pytest.mark.parametrize("size", [9_999, 10_000, 10_001])
 def test_ties_and_missing_keys_mean_the_same_at_every_size(spark, monkeypatch, rounds, size):
-    monkeypatch.setattr(ranks, "_rounds_for", lambda rows, grid: rounds)
+    monkeypatch.setattr(ranks, "_FORCED_ROUNDS", rounds)
     keys = [i % 100 for i in range(20_000)] + [None] * 5
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
     last = sorted(k for k in keys if k is not None)[size - 1]
@@ -129,7 +129,7 @@ def test_text_keys_are_refused_at_every_size(spark, rows):
 
 
 def test_a_missed_bracket_is_searched_again(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "_rounds_for", lambda rows, grid: 1)
+    monkeypatch.setattr(ranks, "_FORCED_ROUNDS", 1)
     calls, real = [], ranks._bracket
 
     def unlucky(mine, first, last, dtype):
