@@ -100,20 +100,6 @@ def inject_defects(clean: DataFrame, columns: DirtyColumns) -> DataFrame:
     return changed.withColumn("__copy", copies).select(*kept)
 
 
-def injected_counts(clean: DataFrame) -> DataFrame:
-    """``metric, injected`` for each defect class, from the row count alone."""
-    n = F.col("n")
-    entries = [
-        F.struct(F.lit(name).alias("metric"), F.floor(n * rate).cast("bigint").alias("injected"))
-        for name, rate in DEFECT_RATES.items()
-    ]
-    return (
-        clean.agg(F.count(F.lit(1)).alias("n"))
-        .select(F.explode(F.array(*entries)).alias("e"))
-        .select("e.metric", "e.injected")
-    )
-
-
 def second_day(day: DataFrame) -> DataFrame:
     """A later delivery: clean rows that all have the late column."""
     return day.withColumn(DRIFT_COLUMN, F.lit(DRIFT_VALUE))

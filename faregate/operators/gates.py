@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from faregate.functions.calendar import parsed_date
 from faregate.operators import defects
 from faregate.operators.defects import DirtyColumns
-from faregate.operators.duplicates import duplicate_count
 from faregate.operators.shares import row_total_of
 
 # Dates of the period start like this, and fares stay below this.
@@ -61,20 +60,20 @@ def not_in_period(date: Column) -> Column:
     return ~F.coalesce(date.rlike(PERIOD_PATTERN), F.lit(False))
 
 
+def _counted(columns: DirtyColumns) -> dict[str, Column]:
+    """The predicates of the row-level counts."""
+    gates = row_gates(columns)
+    names = ("null_PULocationID", "fare_lt_0", "fare_gt_10000", "passenger_count_eq_0", "duration_lt_0")
+    counted = {name: gates[name] for name in names}
+    counted["unparseable_or_out_of_range_date"] = not_in_period(F.col(columns.date))
+    return counted
+
+
 def gate_counts(df: DataFrame, columns: DirtyColumns) -> DataFrame:
     """All row-level defect counts of a table in one pass, one row."""
-    gates = row_gates(columns)
-    measured = {
-        name: gates[name]
-        for name in (
-            "null_PULocationID", "fare_lt_0", "fare_gt_10000",
-            "passenger_count_eq_0", "duration_lt_0",
-        )
-    }
-    measured["unparseable_or_out_of_range_date"] = not_in_period(F.col(columns.date))
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(predicate).alias(name) for name, predicate in measured.items()],
+        *[F.count_if(predicate).alias(name) for name, predicate in _counted(columns).items()],
     )
 
 
@@ -103,6 +102,44 @@ def drift_profile(df: DataFrame, column: str, period: str) -> DataFrame:
     )
 
 
+def _measure(clean: DataFrame, dirty: DataFrame, columns: DirtyColumns) -> DataFrame:
+    """Everything the tables below need, as one row from one grouping of the dirty rows.
+
+    ``once.*`` counts a row and its copies as one, ``all.*`` counts every copy;
+    ``n`` is the number of clean rows.
+    """
+    gates = row_gates(columns)
+    any_hit = F.lit(False)
+    for predicate in gates.values():
+        any_hit = any_hit | predicate
+    single = dirty.groupBy(*dirty.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    copies = F.col("__copies")
+
+    def every(hit: Column) -> Column:
+        return F.coalesce(F.sum(F.when(hit, copies)), F.lit(0))
+
+    once = [F.count_if(hit).alias(name) for name, hit in gates.items()]
+    every_copy = [every(hit).alias(name) for name, hit in _counted(columns).items()]
+    total = F.coalesce(F.sum(copies), F.lit(0))
+    return single.agg(
+        F.struct(*once, F.count_if(~any_hit).alias("clean_rows")).alias("once"),
+        F.struct(total.alias("total_rows"), *every_copy).alias("all"),
+        (total - F.count(F.lit(1))).alias("exact_duplicates"),
+    ).withColumn("n", row_total_of(clean))
+
+
+def _injected() -> dict[str, Column]:
+    return {name: F.floor(F.col("n") * rate).cast("bigint") for name, rate in defects.DEFECT_RATES.items()}
+
+
+def _expected_clean() -> Column:
+    expected = F.col("n")
+    for name, count in _injected().items():
+        if name != "duplicate_rows":
+            expected = expected - count
+    return expected
+
+
 def reconcile(clean: DataFrame, dirty: DataFrame, columns: DirtyColumns) -> DataFrame:
     """Injected against measured counts: ``metric, injected, measured, difference, verdict``.
 
@@ -112,78 +149,53 @@ def reconcile(clean: DataFrame, dirty: DataFrame, columns: DirtyColumns) -> Data
     rows give the clean rows: the estimate from the counts, and the exact
     number that pass every gate.
     """
-    gates = row_gates(columns)
-    any_hit = F.lit(False)
-    for predicate in gates.values():
-        any_hit = any_hit | predicate
-    single = dirty.groupBy(*dirty.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    measured = single.agg(
-        *[F.count_if(hit).alias(name) for name, hit in gates.items()],
-        F.count_if(~any_hit).alias("clean_rows"),
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("exact_duplicates"),
-    )
-    injected = defects.injected_counts(clean)
-    spoilt = injected.where(F.col("metric") != "duplicate_rows").agg(F.sum("injected")).scalar()
-    pairs = [
-        F.struct(F.lit(metric).alias("metric"), F.col(name).alias("measured"))
-        for metric, name in MEASURED_FOR.items()
+    measured = {
+        name: F.col("exact_duplicates") if name == "duplicate_rows" else F.col("once")[MEASURED_FOR[name]]
+        for name in defects.DEFECT_RATES
+    }
+    injected = _injected()
+    pairs = {name: (injected[name], measured[name]) for name in injected}
+    pairs["clean_rows"] = (_expected_clean(), F.col("once")["clean_rows"])
+    pairs["total_rows"] = (F.col("n") + injected["duplicate_rows"], F.col("all")["total_rows"])
+    rows = [
+        F.struct(F.lit(name).alias("metric"), a.alias("injected"), b.alias("measured")) for name, (a, b) in pairs.items()
     ]
-    pairs.append(F.struct(F.lit("clean_rows").alias("metric"), F.col("clean_rows").alias("measured")))
-    pairs.append(F.struct(F.lit("total_rows").alias("metric"), F.col("total_rows").alias("measured")))
-    long_form = measured.select(F.explode(F.array(*pairs)).alias("e")).select("e.*")
-    n = row_total_of(clean)
-    copies = injected.where(F.col("metric") == "duplicate_rows").select("injected").scalar()
-    expected = (
-        F.when(F.col("metric") == "clean_rows", n - spoilt)
-        .when(F.col("metric") == "total_rows", n + copies)
-        .otherwise(F.col("injected"))
-    )
     difference = F.col("measured") - F.col("injected")
     return (
-        long_form.join(injected, "metric", "left")
-        .withColumn("injected", expected)
-        .select(
-            "metric",
-            "injected",
-            "measured",
-            difference.alias("difference"),
-            F.when(difference == 0, "equal")
-            .when(difference < 0, "fewer")
-            .otherwise("more")
-            .alias("verdict"),
+        _measure(clean, dirty, columns)
+        .select(F.explode(F.array(*rows)).alias("e"))
+        .select("e.*")
+        .withColumns(
+            {
+                "difference": difference,
+                "verdict": F.when(difference == 0, "equal").when(difference < 0, "fewer").otherwise("more"),
+            }
         )
     )
 
 
 def manifest(clean: DataFrame, dirty: DataFrame, columns: DirtyColumns) -> DataFrame:
     """``metric, value, detail`` rows: what was injected and what was measured."""
-    injected = defects.injected_counts(clean).select(
-        F.concat(F.lit("injected."), "metric").alias("metric"),
-        F.col("injected").alias("value"),
-        F.lit(None).cast("string").alias("detail"),
-    )
-    counts = gate_counts(dirty, columns)
-    names = counts.columns
-    measured = counts.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(f"measured.{c}").alias("metric"), F.col(c).alias("value")) for c in names])
-        ).alias("e")
-    ).select("e.metric", "e.value", F.lit(None).cast("string").alias("detail"))
-    copies = duplicate_count(dirty).select(
-        F.lit("measured.exact_duplicates").alias("metric"),
-        F.col("duplicates").alias("value"),
-        F.lit(None).cast("string").alias("detail"),
-    )
+    none = F.lit(None).cast("string")
     share = int(defects.DRIFT_FROM * 100)
-    drift = clean.sparkSession.range(1).select(
-        F.lit("injected.schema_drift_column").alias("metric"),
-        F.lit(None).cast("bigint").alias("value"),
-        F.lit(f"{defects.DRIFT_COLUMN} is null for the first {share}% of rows").alias("detail"),
+    exact = F.concat(
+        F.lit("a lower bound, classes overlap; exact "), F.col("once")["clean_rows"].cast("string")
     )
-    clean_estimate = reconcile(clean, dirty, columns).where(F.col("metric") == "clean_rows").select(
-        F.lit("clean_rows_expected").alias("metric"),
-        F.col("injected").alias("value"),
-        F.concat(F.lit("a lower bound, classes overlap; exact "), F.col("measured").cast("string")).alias("detail"),
-    )
-    return injected.unionByName(measured).unionByName(copies).unionByName(drift).unionByName(clean_estimate)
+    values = [(f"injected.{name}", count, none) for name, count in _injected().items()]
+    values += [
+        (f"measured.{name}", F.col("all")[name], none) for name in ("total_rows", *_counted(columns))
+    ]
+    values += [
+        ("measured.exact_duplicates", F.col("exact_duplicates"), none),
+        (
+            "injected.schema_drift_column",
+            F.lit(None).cast("bigint"),
+            F.lit(f"{defects.DRIFT_COLUMN} is null for the first {share}% of rows"),
+        ),
+        ("clean_rows_expected", _expected_clean(), exact),
+    ]
+    rows = [
+        F.struct(F.lit(name).alias("metric"), value.cast("bigint").alias("value"), detail.alias("detail"))
+        for name, value, detail in values
+    ]
+    return _measure(clean, dirty, columns).select(F.explode(F.array(*rows)).alias("e")).select("e.*")
