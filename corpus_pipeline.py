@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from faregate.llm import exact_dedup, minhash, mixing, packing, quality
-from faregate.llm.common import table
+from faregate.llm.common import ship, table
 from faregate.operators.layout import written
 
 
@@ -25,6 +25,7 @@ def keep_one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates, the document with the smallest id."""
+    ship(spark)
     return minhash.drop_near_duplicates(docs)
 
 
@@ -35,6 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing into sequences of 1024 tokens."""
+    ship(spark)
     return packing.pack(docs)
 
 
