@@ -8,14 +8,14 @@
    and are dropped: anchors are counted, then blocks are semi-joined.
 3. Equal blocks of one anchor are repeated as a whole. Where an anchor also has
    blocks that occur once, these may share part of their windows with others:
-   the distinct blocks' bytes are cut out of the texts and grouped by anchor, and
-   a suffix array over many groups at a time finds their repeated windows. All
-   suffixes that share a window are neighbours in it; neighbours are compared
-   byte by byte.
+   the distinct blocks' bytes are cut out of the texts and grouped by anchor.
+   Windows with nearby offsets share a core; ranges whose core no other block
+   has drop out, and a suffix array over the rest of many groups at a time finds
+   their repeated windows. All suffixes that share a window are neighbours in
+   it; neighbours are compared symbol by symbol.
 4. An anchor with more than ``GROUP`` distinct blocks goes another exact way, as
-   no task may hold all of them: windows with nearby offsets share a core; cores
-   that occur once drop out, and the remaining windows are counted by hash
-   within anchor and core.
+   no task may hold all of them: cores that occur once drop out by a shuffle, and
+   the remaining windows are counted by hash within anchor and core.
 5. Repeated windows become spans per document, which join the texts once more.
 
 Matches never cross rows. Null counts as empty. A text shorter than ``length``
@@ -113,7 +113,7 @@ def _cut(source: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("first", "more", "lead", "anchor", "single", "hot")).alias("wanted")
     )  # at most the blocks of one text
     both = source.join(by_text, _same_text("own_id", "own_hash")).select("id", "text_hash", "text", "wanted")
-    names = ["id", "text_hash", "first", "more", "anchor", "single", "bytes", "core", "windows"]
+    names = ["id", "text_hash", "first", "more", "lead", "anchor", "single", "bytes", "core", "windows"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,6 +147,7 @@ def _cut(source: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     batch.column(1).take(take),
                     pa.array(out["first"], pa.int32()),
                     pa.array(out["more"], pa.int32()),
+                    pa.array(out["lead"], pa.int32()),
                     pa.array(out["anchor"], pa.int64()),
                     pa.array(out["single"], pa.bool_()),
                     pa.array(out["bytes"], pa.binary()),
@@ -159,7 +160,7 @@ def _cut(source: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     kind = source.schema["id"].dataType.simpleString()
     return both.mapInArrow(
         cut,
-        f"id {kind}, text_hash int, first int, more int, anchor bigint, single boolean, "
+        f"id {kind}, text_hash int, first int, more int, lead int, anchor bigint, single boolean, "
         "bytes binary, core bigint, windows array<bigint>",
     )
 
@@ -168,6 +169,7 @@ def _add(out: dict[str, list], first: int, more: int, block: dict, data: bytes |
     for name, value in (
         ("first", first),
         ("more", more),
+        ("lead", block["lead"]),
         ("anchor", block["anchor"]),
         ("single", block["single"]),
         ("bytes", data),
@@ -177,70 +179,126 @@ def _add(out: dict[str, list], first: int, more: int, block: dict, data: bytes |
         out[name].append(value)
 
 
-def repeated_windows(pieces: list[bytes], length: int) -> list[np.ndarray]:
-    """Per piece, which of its windows start elsewhere in the pieces as well."""
-    sizes = np.array([len(p) for p in pieces])
+def repeated_windows(strings: list[np.ndarray], width: int) -> list[np.ndarray]:
+    """Per string of symbols (all above 1), which of its windows start elsewhere in the strings as well."""
+    sizes = np.array([len(x) for x in strings])
     begin = np.concatenate(([0], np.cumsum(sizes + 1)))
-    data = np.frombuffer(b"\0".join(pieces) + b"\0", dtype=np.uint8)
-    symbols = data.astype(np.int64) + 2
-    symbols[begin[1:] - 1] = 1
-    order = suffix_array(np.append(symbols, 0))[1:]
-    owner = np.repeat(np.arange(len(pieces)), sizes + 1)
-    fits = np.arange(len(data)) + length < begin[1:][owner]
+    symbols = np.ones(begin[-1] + 1, dtype=np.int64)
+    for start, string in zip(begin, strings):
+        symbols[start : start + len(string)] = string
+    symbols[-1] = 0
+    order = suffix_array(symbols)[1:]
+    owner = np.repeat(np.arange(len(strings)), sizes + 1)
+    fits = np.arange(len(owner)) + width < begin[1:][owner]
     order = order[fits[order]]
     same = np.zeros(max(len(order) - 1, 0), dtype=bool)
-    every = np.arange(length)
+    every, short = np.arange(width), symbols.astype(np.int32)
     for low in range(0, len(same), 4096):
         a, b = order[low : low + 4096], order[low + 1 : low + 4097]
         a = a[: len(b)]
-        same[low : low + len(b)] = (data[a[:, None] + every] == data[b[:, None] + every]).all(axis=1)
-    found = np.zeros(len(data), dtype=bool)
+        same[low : low + len(b)] = (short[a[:, None] + every] == short[b[:, None] + every]).all(axis=1)
+    found = np.zeros(len(symbols), dtype=bool)
     found[order[:-1][same]] = True
     found[order[1:][same]] = True
-    return [found[begin[i] : begin[i] + max(sizes[i] - length + 1, 0)] for i in range(len(pieces))]
+    return [found[begin[i] : begin[i] + max(sizes[i] - width + 1, 0)] for i in range(len(strings))]
+
+
+def candidates(blocks_: list[tuple[bytes, int, int, bool]], length: int) -> list[tuple[int, int, int]]:
+    """Block, first and last offset of the window runs that may be repeated.
+
+    Blocks are (bytes, anchor's place, anchor's hash, occurs once). Windows whose
+    offsets to the anchor fall into one range share a core; where no other block
+    of the anchor has that core, none of them is repeated. A run of blocks that
+    are all repeated as a whole anyway is left out.
+    """
+    sizes = np.array([len(b[0]) for b in blocks_], dtype=np.int64)
+    lead = np.array([b[1] for b in blocks_], dtype=np.int64)
+    anchor = np.array([b[2] for b in blocks_], dtype=np.int64).view(np.uint64)
+    once = np.array([b[3] for b in blocks_], dtype=bool)
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    sums = prefix_hash(np.frombuffer(b"".join(b[0] for b in blocks_), dtype=np.uint8))
+    more = sizes - length
+    low, high = (lead - more) // STEP, lead // STEP
+    owner = np.repeat(np.arange(len(blocks_)), high - low + 1)
+    part = np.arange(len(owner)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[owner]
+    core = begin[owner] + lead[owner] - part * STEP
+    # a range at the anchor's own place can be negative no further than one step
+    hashes = span_hash(sums, core, core + length - STEP + 1)
+    key = mix(mix(hashes + part.astype(np.uint64)) + anchor[owner])
+    _, number, count = np.unique(key, return_inverse=True, return_counts=True)
+    single = np.bincount(number, weights=once[owner]) > 0
+    alive = (count[number] > 1) & single[number]
+    out = []
+    edge = np.flatnonzero(alive & ~np.concatenate(([False], alive[:-1] & (owner[1:] == owner[:-1]))))
+    stop = np.flatnonzero(alive & ~np.concatenate((alive[1:] & (owner[1:] == owner[:-1]), [False])))
+    for a, b in zip(edge, stop):
+        i = int(owner[a])
+        out.append(
+            (i, max(0, int(lead[i] - part[b] * STEP) - STEP + 1), min(int(more[i]), int(lead[i] - part[a] * STEP)))
+        )
+    return out
+
+
+def repeats_of_blocks(blocks_: list[tuple[bytes, int, int, bool]], length: int) -> list[tuple[int, int, int]]:
+    """Block, first and last offset of runs of repeated windows, of blocks that occur once.
+
+    Every window of a block holds the anchor's gram whole, so the gram is one
+    symbol, and windows are so much shorter.
+    """
+    runs_ = candidates(blocks_, length)
+    grams: dict[bytes, int] = {}
+    strings = []
+    for i, a, b in runs_:
+        body, lead = blocks_[i][0], blocks_[i][1]
+        gram = grams.setdefault(body[lead : lead + GRAM], 258 + len(grams))
+        data = np.frombuffer(body, dtype=np.uint8)
+        strings.append(np.concatenate((data[a:lead] + np.int64(2), [gram], data[lead + GRAM : b + length] + np.int64(2))))
+    out = []
+    if strings:
+        for (i, a, _), marked in zip(runs_, repeated_windows(strings, length - GRAM + 1)):
+            if blocks_[i][3]:  # others are repeated as a whole
+                edges = np.flatnonzero(np.diff(np.concatenate(([0], marked.astype(np.int8), [0]))))
+                out += [(i, a + int(x), a + int(y) - 1) for x, y in zip(edges[::2], edges[1::2])]
+    return out
 
 
 def _by_suffix_array(cut: DataFrame, length: int) -> DataFrame:
     """Spans of windows that blocks of one anchor share."""
-    kind = cut.schema["id"].dataType.simpleString()
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind, id_type = cut.schema["id"].dataType.simpleString(), to_arrow_type(cut.schema["id"].dataType)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, current = 0, None
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(6)]
+            columns = [column.to_pylist() for column in batch.columns]
             for row in zip(*columns):
-                if row[4] != current:
+                if row[0] != current:
                     if size >= RUN:
                         yield spans(held)
                         held, size = [], 0
-                    current = row[4]
+                    current = row[0]
                 held.append(row)
-                size += len(row[5]) + 1
+                size += len(row[6])
         if held:
             yield spans(held)
 
     def spans(held: list[tuple]) -> pa.RecordBatch:
-        ids, hashes, low, high = [], [], [], []
-        for row, marked in zip(held, repeated_windows([r[5] for r in held], length)):
-            if row[3]:  # others are repeated as a whole
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], marked.astype(np.int8), [0]))))
-                for a, b in zip(edges[::2], edges[1::2]):
-                    ids.append(row[0])
-                    hashes.append(row[1])
-                    low.append(row[2] + int(a))
-                    high.append(row[2] + int(b) - 1 + length)
+        found = repeats_of_blocks([(r[6], r[4], r[0], r[5]) for r in held], length)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, cut_type), pa.array(hashes, pa.int32()), pa.array(low, pa.int32()), pa.array(high, pa.int32())],
+            [
+                pa.array([held[i][1] for i, _, _ in found], id_type),
+                pa.array([held[i][2] for i, _, _ in found], pa.int32()),
+                pa.array([held[i][3] + a for i, a, _ in found], pa.int32()),
+                pa.array([held[i][3] + b + length for i, _, b in found], pa.int32()),
+            ],
             ["id", "text_hash", "low", "high"],
         )
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    cut_type = to_arrow_type(cut.schema["id"].dataType)
     grouped = (
         cut.filter("bytes is not null")
-        .select("id", "text_hash", "first", "single", "anchor", "bytes")
+        .select("anchor", "id", "text_hash", "first", "lead", "single", "bytes")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
     )
@@ -272,7 +330,8 @@ def _same_text(doc_id: str, text_hash: str) -> Column:
 def repeated_spans(source: DataFrame, length: int) -> DataFrame:
     """``id, text_hash, low, high``: byte ranges covered by repeated windows; they may overlap."""
     found = _blocks(source, length)
-    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # written: a join side that is only read can be split where one anchor has very many blocks
+    often = written(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
     found = written(found.join(often, "anchor", "left_semi"))
 
     one = F.min(F.struct("id", "text_hash", "first", "more", "lead")).alias("one")
@@ -282,9 +341,8 @@ def repeated_spans(source: DataFrame, length: int) -> DataFrame:
         "id", "text_hash", F.col("first").alias("low"), (F.col("first") + F.col("more") + length).alias("high")
     )
 
-    mixed = distinct.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("blocks"), F.min("n").alias("least")
-    ).filter("blocks > 1 and least = 1")
+    counts = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("blocks"), F.min("n").alias("least"))
+    mixed = written(counts.filter("blocks > 1 and least = 1"))
     wanted = distinct.join(mixed.select("anchor", (F.col("blocks") > GROUP).alias("hot")), "anchor").select(
         "one.*", "anchor", (F.col("n") == 1).alias("single"), "hot"
     )
