@@ -27,25 +27,26 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _state(links: DataFrame) -> tuple:
-    return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _settled(links: DataFrame) -> bool:
+    """Whether all links are stars: each node points once, and to one that does not point."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("points"), F.lit(0).alias("pointed")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("points"), F.lit(1).alias("pointed"))
+    )
+    seen = ends.groupBy("node").agg(F.sum("points").alias("points"), F.max("pointed").alias("pointed"))
+    return seen.filter(F.col("points") + F.col("pointed") > 1).filter("points > 0").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` of every node with a link; the label is the component's smallest node.
 
-    Large and small stars in turn until nothing changes: a number of rounds that
-    grows with the logarithm of the nodes. Each round's links are written, so a
-    lost executor costs a re-read.
+    Large and small stars in turn until all links are stars: a number of rounds
+    that grows with the logarithm of the nodes, none where they are stars from
+    the start. Each round's links are written, so a lost executor costs a re-read.
     """
-    now = written(links.select("u", "v").distinct())
-    state = _state(now)
-    while state[0]:
+    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = written(down.filter("u > v").distinct())
+    while not _settled(now):
         now = written(_small_star(_large_star(now)).distinct())
-        following = _state(now)
-        if following == state:
-            break
-        state = following
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )

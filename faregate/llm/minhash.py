@@ -14,9 +14,12 @@
 
 A bucket is never expanded into all pairs. In the first round each member is
 paired with the bucket's smallest class. After each round the links' components
-are found, and a bucket whose members are all connected is closed. In a bucket
-that is still open, some members outside its largest component are paired with
-all members of other components; they are then done with and leave the bucket.
+are found, and a bucket whose members are all connected is closed. Buckets that
+are still open and hold at most ``BUCKET_BYTES`` of text are closed by one task
+each, which compares one member at a time with all others by counting shared
+shingles, and stops as soon as the members not yet compared are all connected.
+In larger ones some members outside the largest component are paired with all
+members of other components; they are then done with and leave the bucket.
 Rounds go on, with four times as many such members in each, until every bucket
 is closed, so no link between two components is lost and nothing is capped.
 
@@ -42,6 +45,7 @@ from faregate.operators.layout import written
 
 BANDS, BAND_ROWS, MINIMA, LOW_BITS = 25, 5, 128, 4
 SLACK = 0.2  # six standard deviations of the estimate
+BUCKET_BYTES = 16 << 20  # texts of a bucket that one task takes
 LEADERS = 4  # members taken per open bucket in the second round; four times as many in each one after
 MULTIPLIERS = mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
 FOLDS = 0x1111111111111111  # the lowest bit of each four
@@ -186,6 +190,80 @@ def _next_leaders(members: DataFrame, turn: int, wanted: int) -> DataFrame:
     )
 
 
+def merged_labels(texts: list[str], labels: list[bytes], percent: int, width: int) -> list[tuple[bytes, bytes]]:
+    """Pairs of labels that links between these texts connect, as few as it takes."""
+    column = pa.array(texts, pa.string())
+    sets = [x for _, _, data, starts in slabs(column) for x in shingles(data, starts, width)]
+    sizes = np.array([len(x) for x in sets])
+    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(shingle, kind="stable")
+    holders = owner[order]  # texts that hold each shingle, side by side
+    first = np.searchsorted(shingle[order], np.arange(shingle.max(initial=-1) + 2))
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    names, group = np.unique(np.array(labels, dtype=object), return_inverse=True)
+    out, waiting = [], np.ones(len(sets), dtype=bool)
+    while True:
+        found, count = np.unique(group[waiting], return_counts=True)
+        if len(found) < 2:  # whatever is not compared yet is connected
+            return out
+        i = int(np.flatnonzero(waiting & (group == found[count.argmin()]))[0])
+        waiting[i] = False
+        own = shingle[begin[i] : begin[i + 1]]
+        shared = np.bincount(
+            np.concatenate([holders[first[x] : first[x + 1]] for x in own]), minlength=len(sets)
+        )
+        linked = np.flatnonzero(100 * shared >= percent * (sizes + sizes[i] - shared))
+        for other in np.unique(group[linked]):
+            if other != group[i]:
+                out.append((names[group[i]], names[other]))
+                group[group == other] = group[i]
+
+
+def _close_small(left: DataFrame, texts: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``lu, lv`` between labels in buckets that one task can take, and the members of all others.
+
+    Buckets with the same members are taken once.
+    """
+    name = F.xxhash64("node")
+    bands = written(
+        left.join(texts.select("node", "bytes"), "node")
+        .groupBy("band")
+        .agg(
+            F.sum("bytes").alias("bytes"),
+            F.count(F.lit(1)).alias("n"),
+            F.bit_xor(name).alias("mixed"),
+            F.sum(name.cast("decimal(38,0)")).alias("sum"),
+        )
+    )
+    small = bands.filter(F.col("bytes") <= BUCKET_BYTES).groupBy("n", "mixed", "sum").agg(F.min("band").alias("band"))
+    small = written(small.select("band"))
+    large = bands.filter(F.col("bytes") > BUCKET_BYTES).select("band")
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def pairs() -> pa.RecordBatch:
+            found = merged_labels([t for _, t in held], [x for x, _ in held], percent, width)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], ["lu", "lv"]
+            )
+
+        for batch in batches:
+            for band, label, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if band != current:
+                    if held:
+                        yield pairs()
+                    current, held = band, []
+                held.append((label, text))
+        if held:
+            yield pairs()
+
+    members = written(left.join(small, "band")).join(texts.select("node", "text"), "node").select("band", "label", "text")
+    closed = members.repartition("band").sortWithinPartitions("band").mapInArrow(close, "lu binary, lv binary")
+    return closed, left.join(large, "band", "left_semi")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, width: int = 5
 ) -> DataFrame:
@@ -209,7 +287,8 @@ def near_duplicates(
     texts = source.join(
         wanted, F.col("id").eqNullSafe(F.col("want_id")) & (F.col("text_hash") == F.col("want_hash"))
     )
-    texts = written(texts.select("node", "text").dropDuplicates(["node"]))
+    texts = texts.select("node", "text", F.octet_length("text").alias("bytes"))
+    texts = written(texts.dropDuplicates(["node"]))
     packed = classes.select("node", "packed")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -222,18 +301,22 @@ def near_duplicates(
     tested = now.select("u", "v")
     merges = []
     left = members.filter("node <> leader").select("band", "node", F.col("node").alias("label"))
-    turn = 0
-    while True:
-        linked = confirm(now, texts, percent, width)
+
+    def merge(linked: DataFrame, members_: DataFrame) -> DataFrame:
         merges.append(components(linked.select(F.col("lu").alias("u"), F.col("lv").alias("v"))))
-        left = _still_open(left, merges[-1])
-        if left.isEmpty():
-            break
+        return _still_open(members_, merges[-1])
+
+    left = merge(confirm(now, texts, percent, width), left)
+    if not left.isEmpty():
+        left = merge(*_close_small(left, texts, percent, width))
+    turn = 0
+    while not left.isEmpty():
         chosen = written(_next_leaders(left, turn, LEADERS << (2 * turn)))
         pairs = _pairs(left.join(chosen, "band").filter("label <> leader_label"))
         now = written(likely(pairs.join(tested, ["u", "v"], "left_anti")).select("u", "v", "lu", "lv"))
         tested = tested.unionByName(now.select("u", "v"))
         left = left.join(chosen.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti")
+        left = merge(confirm(now, texts, percent, width), left)
         turn += 1
 
     labels = classes.select("node", F.col("node").alias("label"), "first")

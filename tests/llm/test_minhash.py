@@ -65,8 +65,10 @@ def test_awkward_rows(spark):
     assert result(minhash.near_duplicates(documents(spark, awkward()))) == brute(awkward())
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_links_like_brute_force(spark, seed):
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("limit", [16 << 20, 0])
+def test_links_like_brute_force(spark, seed, limit, monkeypatch):
+    monkeypatch.setattr(minhash, "BUCKET_BYTES", limit)  # 0: all buckets go the way of large ones
     rows = near_copies(seed, groups=6, copies=8, words=60, edits=2)
     assert result(minhash.near_duplicates(documents(spark, rows, clash=False))) == brute(rows)
 
@@ -78,6 +80,31 @@ def test_cloud_whose_centre_is_missing(spark):
     assert result(minhash.near_duplicates(documents(spark, rows, clash=False))) == brute(rows)
 
 
+def test_labels_merge_like_all_pairs():
+    draw = random.Random(8)
+    for seed in range(20):
+        rows = near_copies(seed, groups=2, copies=8, words=40, edits=2)
+        texts, labels = [r[1] for r in rows], [bytes([draw.randrange(10)]) for _ in rows]
+        found = minhash.merged_labels(texts, labels, 85, 5)
+        sets = [shingle_set(t) for t in texts]
+        links = {
+            frozenset((labels[i], labels[j]))
+            for i, a in enumerate(sets)
+            for j, b in enumerate(sets[:i])
+            if labels[i] != labels[j] and 100 * len(a & b) >= 85 * len(a | b)
+        }
+
+        def groups(pairs):
+            of = {x: {x} for x in set(labels)}
+            for pair in pairs:
+                joined = set().union(*(of[x] for x in pair))
+                for x in joined:
+                    of[x] = joined
+            return {frozenset(g) for g in of.values()}
+
+        assert groups(found) == groups(links)
+
+
 def test_one_of_each_component_stays(spark):
     docs = documents(spark, awkward())
     kept = minhash.drop_near_duplicates(docs)
