@@ -24,9 +24,9 @@ def keep_one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates, the document with the smallest id."""
+    """Of each component of documents that are 0.8 alike or more, the document with the smallest id."""
     ship(spark)
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
