@@ -1,11 +1,13 @@
 """Near duplicates by b-bit MinHash.
 
 1. Per document the distinct shingles of five lower-cased words as 64-bit
-   hashes, 128 minima, and of these 25 band keys of five minima each and the
+   hashes, 128 minima, and of these band keys of some minima each and the
    low four bits of every minimum, packed into eight words. Documents with equal
    shingle sets are one class from here on.
-2. Classes that share a band key are a bucket. A pair of classes at the
-   threshold 0.85 shares no band with a probability below 5e-7.
+2. Classes that share a band key are a bucket. Bands and the minima of each
+   follow from the threshold (``banding``): a pair of classes at any threshold
+   shares no band with a probability of at most ``MISSED``, 5e-7. There are 25
+   bands of five at 0.85 (4.3e-7) and 28 of four at 0.80 (4.0e-7).
 3. A pair's packed words are compared by counting bits; with four bits unequal
    minima agree by chance one time in sixteen, and the estimate is corrected for
    that. Only estimates more than six standard deviations below the threshold
@@ -32,6 +34,7 @@ gives no rows. Column names of the input can't clash with the operator's own.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,14 +46,37 @@ from faregate.llm.common import mix, shingles, slabs
 from faregate.llm.components import components
 from faregate.operators.layout import written
 
-BANDS, BAND_ROWS, MINIMA, LOW_BITS = 25, 5, 128, 4
-SLACK = 0.2  # six standard deviations of the estimate
+MINIMA, LOW_BITS = 128, 4
+MISSED = 5e-7  # the probability that a pair at the threshold shares no band, at most
+SLACK = 0.2  # six standard deviations of the estimate at 0.85
 BUCKET_BYTES = 16 << 20  # texts of a bucket that one task takes
 LEADERS = 4  # members taken per open bucket in the second round; four times as many in each one after
-MULTIPLIERS = mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
 FOLDS = 0x1111111111111111  # the lowest bit of each four
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands, and minima in each: the most minima a band for which as many bands as ``MISSED`` asks for take ``MINIMA``.
+
+    Thresholds too low for that have bands of one minimum, and more minima.
+    """
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent is a whole number from 1 to 100, not {percent}")
+
+    def bands(rows: int) -> int:
+        alike = (percent / 100) ** rows
+        return 1 if alike == 1 else math.ceil(math.log(MISSED) / math.log1p(-alike))
+
+    rows = max((r for r in range(2, 17) if r * bands(r) <= MINIMA), default=1)
+    return bands(rows), rows
+
+
+def slack(percent: int) -> float:
+    """Six standard deviations of the estimate at the threshold, ``SLACK`` at least."""
+    chance = 1.0 / (1 << LOW_BITS)
+    agree = percent / 100 * (1 - chance) + chance
+    return max(SLACK, 6 * math.sqrt(agree * (1 - agree) / MINIMA) / (1 - chance))
+
+
 def _list_column(values: np.ndarray, width: int, rows: int, filled: np.ndarray) -> pa.Array:
     """Rows of ``width`` words each, empty where a document has no shingle."""
     offsets = np.zeros(rows + 1, dtype=np.int32)
@@ -58,11 +84,14 @@ def _list_column(values: np.ndarray, width: int, rows: int, filled: np.ndarray)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1).view(np.int64)))
 
 
-def signatures(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+def signatures(docs: DataFrame, doc_id: str, text: str, width: int, percent: int = 85) -> DataFrame:
     """``id, text_hash, n_shingles, node, bands, packed`` of every document."""
+    n_bands, band_rows = banding(percent)
+    n_minima = max(MINIMA, n_bands * band_rows)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = np.array([3, 5, 7, 11, 13], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+        multipliers = mix(np.arange(1, n_minima + 1, dtype=np.uint64)) | np.uint64(1)
+        places = np.arange(3, 2 * band_rows + 3, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
         shifts = (np.arange(MINIMA, dtype=np.uint64) % np.uint64(16)) * np.uint64(LOW_BITS)
         for batch in batches:
             for first, last, data, starts in slabs(batch.column(2)):
@@ -70,14 +99,14 @@ def signatures(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
                 filled = sizes > 0
                 begin = np.concatenate(([0], np.cumsum(sizes[filled])))[:-1]
-                minima = np.empty((int(filled.sum()), MINIMA), dtype=np.uint64)
+                minima = np.empty((int(filled.sum()), n_minima), dtype=np.uint64)
                 if len(minima):
                     every = np.concatenate([s for s in sets if len(s)])
-                    for j in range(MINIMA):
-                        minima[:, j] = np.minimum.reduceat(every * MULTIPLIERS[j], begin)
-                grouped = minima[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS)
-                keys = mix((grouped * places).sum(axis=2, dtype=np.uint64) + mix(np.arange(BANDS, dtype=np.uint64)))
-                low = (minima & np.uint64((1 << LOW_BITS) - 1)) << shifts
+                    for j in range(n_minima):
+                        minima[:, j] = np.minimum.reduceat(every * multipliers[j], begin)
+                grouped = minima[:, : n_bands * band_rows].reshape(-1, n_bands, band_rows)
+                keys = mix((grouped * places).sum(axis=2, dtype=np.uint64) + mix(np.arange(n_bands, dtype=np.uint64)))
+                low = (minima[:, :MINIMA] & np.uint64((1 << LOW_BITS) - 1)) << shifts
                 words = low.reshape(-1, MINIMA // 16, 16).sum(axis=2, dtype=np.uint64)
                 nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 rows = last - first
@@ -87,7 +116,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame
                         batch.column(1).slice(first, rows),
                         pa.array(sizes),
                         pa.array(nodes, pa.binary()),
-                        _list_column(keys, BANDS, rows, filled),
+                        _list_column(keys, n_bands, rows, filled),
                         _list_column(words, MINIMA // 16, rows, filled),
                     ],
                     ["id", "text_hash", "n_shingles", "node", "bands", "packed"],
@@ -268,7 +297,7 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, width: int = 5
 ) -> DataFrame:
     """One row per document: ``id, text_hash, n_shingles, component_id, kept``."""
-    signed = written(signatures(docs, doc_id, text, width))
+    signed = written(signatures(docs, doc_id, text, width, percent))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash"))
     classes = written(
         signed.filter("n_shingles > 0")
@@ -294,7 +323,7 @@ def near_duplicates(
     def likely(pairs: DataFrame) -> DataFrame:
         one = packed.select(F.col("node").alias("u"), F.col("packed").alias("a"))
         two = packed.select(F.col("node").alias("v"), F.col("packed").alias("b"))
-        return pairs.join(one, "u").join(two, "v").filter(estimate(F.col("a"), F.col("b")) >= percent / 100 - SLACK)
+        return pairs.join(one, "u").join(two, "v").filter(estimate(F.col("a"), F.col("b")) >= percent / 100 - slack(percent))
 
     star = members.filter("node <> leader").withColumns({"label": F.col("node"), "leader_label": F.col("leader")})
     now = written(likely(_pairs(star)).select("u", "v", "lu", "lv"))
