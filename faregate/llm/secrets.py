@@ -12,8 +12,15 @@ whose highest window entropy reaches the threshold of its character class is a
 span of kind ``entropy``. Classes: ``hex`` (only hex digits), ``alnum`` (letters
 and digits), ``base64`` (any). The allow-list suppresses candidates that are no
 secrets: words joined by single signs, runs without a digit, numbers, UUIDs,
-dates, and texts that say so (example, placeholder, dummy, test, xxxx). Spans
-that overlap a pattern's span are left to the pattern.
+dates, and texts that say so (example, placeholder, dummy, xxxx). Spans that
+overlap a pattern's span are left to the pattern.
+
+A candidate may hold a name, path segments and a value. What makes it no span of
+its own need not hold for all of it, so unless its shape is allow-listed as a
+whole, it is looked at again in parts of 24 characters or more: what lies outside
+the patterns' spans, and of that, if it is no span either, what lies between
+``=`` and ``/``. A part is a span if it is suspicious by itself; a word that says
+so suppresses only the part it is in.
 
 Null texts are empty and have no span. Repeated rows are scanned alike. An empty
 table gives no rows. Further columns of the input are not read.
@@ -36,14 +43,18 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 24
 CANDIDATE = "[A-Za-z0-9+/_=-]{24,}"
+PART = "[A-Za-z0-9+_-]{24,}"  # of a candidate, between = and /
 # Bits per character that a class's window has to reach.
 THRESHOLDS = {"hex": 3.1, "alnum": 3.7, "base64": 3.7}
 # What is let through.
-ALLOWED = (
+SHAPES = (
     "^[^0-9]*$|^[0-9_=+/-]+$|^[A-Za-z]+(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,4}))*[+/_=-]*$"
     "|^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
-    "|(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Dd][Uu][Mm][Mm][Yy]|[Xx]{4,})"
 )
+SAYS_SO = (
+    "(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Dd][Uu][Mm][Mm][Yy]|[Xx]{4,})"
+)
+ALLOWED = SHAPES + "|" + SAYS_SO
 
 SPAN = "struct<start:int,kind:int,finish:int>"
 
@@ -140,24 +151,93 @@ def joined(found: Column) -> Column:
     )
 
 
+def _meets(base: Column, run: Column) -> Column:
+    """Whether a pattern's span overlaps a run."""
+    return F.exists(base, lambda b: (b["start"] < run["finish"]) & (run["start"] < b["finish"]))
+
+
+def outside(base: Column, run: Column) -> Column:
+    """What of a run lies outside the patterns' spans: ``start, text``, of 24 characters or more."""
+    edges = "struct<at:int,out:array<struct<start:int,finish:int>>>"
+    begin = F.struct(run["start"].alias("at"), F.array().alias("out")).cast(edges)
+
+    def add(state: Column, finish: Column) -> Column:
+        gap = F.array(F.struct(state["at"].alias("start"), finish.alias("finish")))
+        return F.when(state["at"] < finish, F.concat(state["out"], gap)).otherwise(state["out"])
+
+    def step(state: Column, b: Column) -> Column:
+        return F.struct(F.greatest(state["at"], b["finish"]).alias("at"), add(state, b["start"]).alias("out"))
+
+    met = F.array_sort(F.filter(base, lambda b: (b["start"] < run["finish"]) & (run["start"] < b["finish"])))
+    left = F.aggregate(met, begin, step, lambda state: add(state, run["finish"]))
+    return F.transform(
+        F.filter(left, lambda x: x["finish"] - x["start"] >= WINDOW),
+        lambda x: F.struct(
+            x["start"].alias("start"),
+            run["text"].substr(x["start"] - run["start"] + 1, x["finish"] - x["start"]).alias("text"),
+        ),
+    )
+
+
+def between_signs(piece: Column) -> Column:
+    """The parts of a piece between ``=`` and ``/``: ``start, text``, of 24 characters or more."""
+    found, starts = matches(piece["text"], PART)
+    return F.zip_with(
+        starts, found, lambda at, text: F.struct((piece["start"] + at).alias("start"), text.alias("text"))
+    )
+
+
+def _judged(pieces: Column) -> Column:
+    """``start, text, ok`` of pieces ``start, text``."""
+    return F.transform(
+        pieces, lambda x: F.struct(x["start"].alias("start"), x["text"].alias("text"), suspicious(x["text"]).alias("ok"))
+    )
+
+
+def _as_spans(pieces: Column) -> Column:
+    """The spans of pieces that are ``ok``."""
+    return F.transform(
+        F.filter(pieces, lambda x: x["ok"]),
+        lambda x: F.struct(
+            x["start"].alias("start"), F.lit(3).alias("kind"), (x["start"] + F.char_length(x["text"])).alias("finish")
+        ),
+    )
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document its id, ``base`` and ``added``: arrays of spans (start, kind as in ``KINDS``, finish)."""
     value = F.col("value")
     long_enough = F.transform(
         F.regexp_extract_all(value, F.lit(ASSIGN), F.lit(1)), lambda secret: F.char_length(secret) >= ASSIGN_LEAST
     )
-    candidates = F.regexp_extract_all(value, F.lit(CANDIDATE), F.lit(0))
-    base = docs.select(
+    found, starts = matches(value, CANDIDATE)
+    run = "struct<start:int,text:string,finish:int,ok:boolean>"
+    runs = F.zip_with(
+        starts,
+        found,
+        lambda at, text: F.struct(
+            at.alias("start"), text.alias("text"), (at + F.char_length(text)).alias("finish"), suspicious(text).alias("ok")
+        ),
+    )
+    whole = docs.select(
         F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("value")
     ).select(
         "id",
         F.concat(
             spans(value, ASSIGN, 0, long_enough), spans(value, ACCESS, 1), spans(value, HEX, 2)
         ).alias("base"),
-        spans(value, CANDIDATE, 3, F.transform(candidates, suspicious)).alias("windows"),
+        F.when(value.rlike(CANDIDATE), runs).otherwise(F.array().cast(f"array<{run}>")).alias("runs"),
+    )
+    base = F.col("base")
+    clear = F.filter("runs", lambda r: r["ok"] & ~_meets(base, r))
+    again = F.filter("runs", lambda r: ~r["text"].rlike(SHAPES) & (~r["ok"] | _meets(base, r)))
+    pieces = whole.select(
+        "id",
+        "base",
+        _as_spans(clear).alias("clear"),
+        _judged(F.flatten(F.transform(again, lambda r: outside(base, r)))).alias("pieces"),
     )
-    clear = F.filter(
-        "windows",
-        lambda w: ~F.exists("base", lambda b: (b["start"] < w["finish"]) & (w["start"] < b["finish"])),
+    parts = F.flatten(F.transform(F.filter("pieces", lambda x: ~x["ok"]), between_signs))
+    return pieces.select(
+        "id", "base", F.concat("clear", _as_spans(F.col("pieces")), _as_spans(_judged(parts))).alias("added")
     )
-    return base.select("id", "base", clear.alias("added"))
