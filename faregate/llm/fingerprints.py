@@ -7,7 +7,11 @@ own. Equal roots mean equal texts. Where roots differ, comparing sections and
 then only the paragraphs of sections that differ locates the edits
 (``edited_paragraphs``). Below the paragraphs are the leaves, pieces of at most
 64 characters of a line, by which two texts are likened: twice the number of
-distinct leaves they share over the sum of those they have.
+distinct leaves they share over the sum of those they have. Leaves are cut at a
+fixed stride from the start of each line: a text of one line below 96 characters
+keeps none when its last third is replaced, and a character put into a long line
+shifts all later leaves of it. ``fine_likeness`` knows neither loss: it likens
+runs of characters wherever they lie, ``edit_probe`` uses it with ``fine=True``.
 
 Null counts as empty; a text without a leaf is like an equal text and no other.
 """
@@ -21,6 +25,8 @@ from faregate.operators.layout import written
 
 SECTION = 8
 LEAF = "[^\n]{1,64}"
+GRAM = 8  # characters of a run that fine likeness compares
+KEPT = 256  # about as many runs, to twice as many, of a text are compared
 
 
 def paragraphs(value: Column) -> Column:
@@ -54,6 +60,45 @@ def likeness(a: Column, b: Column, same: Column) -> Column:
     return F.when(same, F.lit(1.0)).when(total == 0, F.lit(0.0)).otherwise(2.0 * shared / total)
 
 
+def _bound(value: Column, make) -> Column:
+    """``make(value)`` with the value computed once, not again for each element that a function inside looks at."""
+    return F.get(F.transform(F.array(value), make), 0)
+
+
+def grams(value: Column) -> Column:
+    """``rate`` and ``hashes`` of distinct runs of ``GRAM`` characters; of a long text one in ``rate``, picked by content.
+
+    A run ends at each character; those of the first ones begin before the text.
+    """
+    n = F.char_length(value)
+    padded = F.split(F.concat(F.lit("\0" * (GRAM - 1)), value), "")
+
+    def runs(chars: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+            lambda i: F.xxhash64(*[F.get(chars, i + k) for k in range(GRAM)]),
+        )
+
+    doublings = F.floor(F.log2(F.greatest(n / KEPT, F.lit(1.0)))).cast("int")
+    rate = F.pow(F.lit(2.0), doublings).cast("bigint")
+    picked = F.struct(rate.alias("rate"), _bound(padded, runs).alias("every"))
+    found = _bound(picked, lambda x: F.array_distinct(F.filter(x["every"], lambda h: F.pmod(h, x["rate"]) == 0)))
+    return F.struct(
+        rate.alias("rate"), F.when(n > 0, found).otherwise(F.array().cast("array<bigint>")).alias("hashes")
+    )
+
+
+def fine_likeness(a: Column, b: Column, same: Column) -> Column:
+    """Likeness of two ``grams``, both thinned to the coarser rate."""
+
+    def of(pair: Column) -> Column:
+        rate = F.greatest(pair["a"]["rate"], pair["b"]["rate"])
+        one, two = (F.filter(pair[k]["hashes"], lambda h: F.pmod(h, rate) == 0) for k in "ab")
+        return likeness(one, two, pair["same"])
+
+    return _bound(F.struct(a.alias("a"), b.alias("b"), same.alias("same")), of)
+
+
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """The columns of ``docs`` as ``row``, with ``fingerprint``, ``sections``, ``paragraphs`` and ``leaves``."""
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -103,7 +148,7 @@ def following(docs: DataFrame, doc_id: str, chars: Column) -> DataFrame:
     )
 
 
-def edit_probe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def edit_probe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fine: bool = False) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they and its neighbour's are.
 
     The edited text has its last third of characters replaced by the first as
@@ -111,14 +156,15 @@ def edit_probe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     id are one document as a neighbour: the one whose text comes first.
     Texts are shuffled by id once and used twice, as themselves and as what
     follows another; what crosses a second time is at most a third of a text and
-    the leaves.
+    the leaves. With ``fine``, texts are likened by ``grams`` instead of leaves.
     """
+    pieces, alike = (grams, fine_likeness) if fine else (leaves, likeness)
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     source = docs.select(F.col(f"`{doc_id}`").alias("id"), value.alias("value"))
     after = following(docs, doc_id, F.char_length(value)).withColumnRenamed("id", "for_id")
     neighbour = F.struct(
         F.col("value").substr(F.lit(1), F.floor(F.col("chars") / 3).cast("int")).alias("start"),
-        leaves(F.col("value")).alias("leaves"),
+        pieces(F.col("value")).alias("leaves"),
         fingerprint(F.col("value")).alias("root"),
     )
     neighbours = (
@@ -145,8 +191,8 @@ def edit_probe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("value")).alias("fingerprint"),
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
-        leaves(F.col("value")).alias("own"),
-        leaves(F.col("edited")).alias("changed"),
+        pieces(F.col("value")).alias("own"),
+        pieces(F.col("edited")).alias("changed"),
         "next",
     )
     return measured.select(
@@ -155,6 +201,6 @@ def edit_probe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        likeness(F.col("own"), F.col("changed"), F.col("fingerprint") == F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next.leaves"), F.col("fingerprint") == F.col("next.root")).alias("near_next"),
+        alike(F.col("own"), F.col("changed"), F.col("fingerprint") == F.col("edited_fingerprint")).alias("near_edited"),
+        alike(F.col("own"), F.col("next.leaves"), F.col("fingerprint") == F.col("next.root")).alias("near_next"),
     )
