@@ -156,10 +156,48 @@ _MIXING = """
     FROM documents d JOIN drawn n USING (doc_id), unnest(range(1, n.copies + 1)) AS c(copy)
 """
 
+_FILTERS = r"""
+    WITH RECURSIVE orders AS (
+        SELECT ''::VARCHAR AS o, 0 AS done, []::INTEGER[] AS befores
+        UNION ALL
+        SELECT o || f, done | (1 << (ascii(f) - 65)), list_append(befores, done)
+        FROM orders, unnest(['A', 'B', 'C', 'D', 'E']) AS t(f) WHERE NOT contains(o, f)),
+    steps AS (
+        SELECT o, step::INTEGER AS step, substr(o, step, 1) AS letter,
+               1 << (ascii(substr(o, step, 1)) - 65) AS own, befores[step] AS before
+        FROM orders, unnest(range(1, 6)) AS t(step) WHERE length(o) = 5),
+    texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS value FROM documents),
+    measured AS (
+        SELECT *, list_filter(string_split_regex(value, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+               doc_id > min(doc_id) OVER (PARTITION BY value) AS copied
+        FROM texts),
+    named AS (
+        SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id),
+    cells AS (
+        SELECT part,
+               (len(words) < 200)::INTEGER + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INTEGER
+               + 4 * (100 * length(regexp_replace(value, '[^A-Z]', '', 'g')) > 2 * length(value))::INTEGER
+               + 8 * regexp_matches(value, '[#$%&*|]')::INTEGER + 16 * coalesce(copied, false)::INTEGER AS mask,
+               count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+        FROM measured LEFT JOIN named USING (doc_id) GROUP BY ALL),
+    counted AS (
+        SELECT part, o AS filter_order, step, letter,
+               coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+        FROM cells, steps GROUP BY ALL)
+    SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM counted
+"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": _WARC,
     "op2_exact_dedup": _EXACT,
     "op6_fingerprints": _FINGERPRINTS,
     "op7_secrets": _SECRETS,
     "op8_mixing": _MIXING,
+    "op13_filter_audit": _FILTERS,
 }

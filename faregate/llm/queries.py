@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregate.llm import exact_dedup, fingerprints, language, minhash, mixing, packing, quality, secrets, suffix_dedup, warc
+from faregate.llm import (
+    exact_dedup,
+    filter_audit,
+    fingerprints,
+    language,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    suffix_dedup,
+    warc,
+)
 from faregate.llm.common import table
 from faregate.llm.oracle import ORACLE
 from faregate.session import shared_folder
@@ -77,6 +89,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
@@ -88,5 +104,6 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
 __all__ = ["ORACLE", "QUERIES"]
