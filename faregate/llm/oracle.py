@@ -156,6 +156,25 @@ _MIXING = """
     FROM documents d JOIN drawn n USING (doc_id), unnest(range(1, n.copies + 1)) AS c(copy)
 """
 
+_LINES = r"""
+    WITH texts AS (
+        SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    placed AS (
+        SELECT doc_id, place, lines[place] AS line,
+               translate(regexp_replace(lines[place], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM texts, unnest(range(1, len(lines) + 1)) AS t(place)),
+    held AS (
+        SELECT key, count(DISTINCT doc_id) AS documents, max(doc_id) AS top
+        FROM placed WHERE length(key) >= 40 GROUP BY key),
+    judged AS (
+        SELECT p.*, coalesce(h.documents >= 5 AND p.doc_id <> h.top, false) AS gone
+        FROM placed p LEFT JOIN held h ON p.key = h.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+"""
+
 _FILTERS = r"""
     WITH RECURSIVE orders AS (
         SELECT ''::VARCHAR AS o, 0 AS done, []::INTEGER[] AS befores
@@ -199,5 +218,6 @@ ORACLE: dict[str, str] = {
     "op6_fingerprints": _FINGERPRINTS,
     "op7_secrets": _SECRETS,
     "op8_mixing": _MIXING,
+    "op11_line_dedup": _LINES,
     "op13_filter_audit": _FILTERS,
 }

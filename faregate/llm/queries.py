@@ -10,6 +10,7 @@ from faregate.llm import (
     filter_audit,
     fingerprints,
     language,
+    line_dedup,
     minhash,
     mixing,
     packing,
@@ -89,6 +90,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduped(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -104,6 +111,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_line_dedup": op11_line_dedup,
     "op13_filter_audit": op13_filter_audit,
 }
 __all__ = ["ORACLE", "QUERIES"]
