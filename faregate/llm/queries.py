@@ -18,6 +18,7 @@ from faregate.llm import (
     secrets,
     suffix_dedup,
     warc,
+    whitening,
 )
 from faregate.llm.common import table
 from faregate.llm.oracle import ORACLE
@@ -96,6 +97,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -112,6 +117,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_line_dedup": op11_line_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_filter_audit": op13_filter_audit,
 }
 __all__ = ["ORACLE", "QUERIES"]
