@@ -5,12 +5,12 @@ from __future__ import annotations
 import pathlib
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLAB_BYTES = 1 << 20  # texts worked on at once inside a task; one longer text is a slab of its own
@@ -48,6 +48,51 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
+def bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(value)`` with the value computed once, however often ``make`` and the functions inside it look at it."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
+LEVELS = 2  # of blocks; each makes a plan deeper
+
+
+def folded(items: Column, state: Column, out: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """Carry a state along an array and gather what each step puts out: ``state`` and ``out``.
+
+    ``step`` gives the next state and an array of type ``array<out>``. Appending to one
+    growing array copies it at every step; here a block of about the cube root of the
+    array's length gathers its own, blocks are appended to each other, and so on upwards.
+    """
+    none, kind = F.array().cast(f"array<{out}>"), f"array<array<{out}>>"
+
+    def appended(s: Column, made: Column, out: Callable[[Column], Column]) -> Column:
+        # a fold over one element: unlike in a transform, what is gathered so far is not copied deeply
+        return F.aggregate(
+            F.array(made), s, lambda s, x: F.struct(x["state"].alias("state"), F.concat(s["out"], out(x["out"])).alias("out"))
+        )
+
+    def one(s: Column, item: Column) -> Column:
+        after, made = step(s["state"], item)
+        return appended(s, F.struct(after.alias("state"), made.alias("out")), lambda x: x)
+
+    def level(depth: int, width: Column, before: Column, x: Column) -> Column:
+        if not depth:
+            return F.aggregate(x, F.struct(before.alias("state"), none.alias("out")), one)
+        size = F.pow(width, F.lit(depth)).cast("int")
+        parts = F.transform(F.sequence(F.lit(1), F.size(x), size), lambda at: F.slice(x, at, size))
+        return F.aggregate(
+            F.when(F.size(x) > 0, parts).otherwise(F.array(x)),
+            F.struct(before.alias("state"), F.array().cast(kind).alias("out")),
+            lambda s, part: appended(s, level(depth - 1, width, s["state"], part), F.array),
+            lambda s: F.struct(s["state"].alias("state"), F.flatten(s["out"]).alias("out")),
+        )
+
+    def whole(x: Column) -> Column:
+        return bound(F.ceil(F.pow(F.size(x), F.lit(1.0 / (LEVELS + 1)))), lambda width: level(LEVELS, width, state, x))
+
+    return bound(items, whole)
+
+
 def held_out(doc_id: str):
     """Rows no model may learn from: crc32 of the id's text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))

@@ -78,15 +78,15 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-def _spans(pattern: str, kind: int, keep: str) -> str:
+def _spans(pattern: str, kind: int, keep: str, value: str = "value", more: str = "") -> str:
     """Spans of a pattern as structs; ``keep`` tests a match ``x`` by its place ``i``."""
-    hits, gaps = f"regexp_extract_all(value, {_quoted(pattern)})", f"string_split_regex(value, {_quoted(pattern)})"
+    hits, gaps = f"regexp_extract_all({value}, {_quoted(pattern)})", f"string_split_regex({value}, {_quoted(pattern)})"
     length = "list_transform({}, lambda y: length(y))"
     start = (
         f"(coalesce(list_sum({length.format(f'({gaps})[1:i]')}), 0) + "
         f"coalesce(list_sum({length.format(f'({hits})[1:i - 1]')}), 0))"
     )
-    made = f"list_transform({hits}, lambda x, i: {{'start': {start}::BIGINT, 'kind': {kind}, 'finish': ({start} + length(x))::BIGINT, 'ok': {keep}}})"
+    made = f"list_transform({hits}, lambda x, i: {{'start': {start}::BIGINT, 'kind': {kind}, 'finish': ({start} + length(x))::BIGINT, 'ok': {keep}{more}}})"
     return f"list_filter({made}, lambda s: s.ok)"
 
 
@@ -109,22 +109,49 @@ _SUSPICIOUS = (
     f"ELSE {secrets.THRESHOLDS['base64']} END"
 )
 _SECOND = f"length((regexp_extract_all(value, {_quoted(secrets.ASSIGN)}, 1))[i]) >= {secrets.ASSIGN_LEAST}"
+_PARTS = "[A-Za-z0-9+_-]{24,}"
 
 _SECRETS = f"""
-    WITH texts AS (SELECT doc_id, coalesce(text, '') AS value FROM documents),
+    WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS value FROM documents),
     found AS (
-        SELECT doc_id, {_spans(secrets.ASSIGN, 0, _SECOND)} AS assign, {_spans(secrets.ACCESS, 1, 'true')} AS access,
-               {_spans(secrets.HEX, 2, 'true')} AS hex, {_spans(secrets.CANDIDATE, 3, _SUSPICIOUS)} AS windows
+        SELECT rid, doc_id, {_spans(secrets.ASSIGN, 0, _SECOND)} AS assign, {_spans(secrets.ACCESS, 1, 'true')} AS access,
+               {_spans(secrets.HEX, 2, 'true')} AS hex,
+               {_spans(secrets.CANDIDATE, 3, 'true', more=", 'text': x")} AS runs
         FROM texts),
     merged AS (
         SELECT *, list_concat(list_concat(assign, access), hex) AS base FROM found),
-    cleared AS (
-        SELECT *, list_filter(windows, lambda w:
-            len(list_filter(base, lambda b: b.start < w.finish AND w.start < b.finish)) = 0) AS added
-        FROM merged)
+    single AS (
+        SELECT rid, base, unnest(runs) AS run FROM merged),
+    opened AS (
+        SELECT rid, base, run, unnest(list_distinct(list_filter(
+                   list_append(list_transform(base, lambda b: b.finish), run.start),
+                   lambda s: run.start <= s AND s < run.finish
+                             AND len(list_filter(base, lambda b: b.start <= s AND s < b.finish)) = 0))) AS start
+        FROM single WHERE NOT regexp_matches(run.text, {_quoted(secrets.SHAPES)})),
+    closed AS (
+        SELECT rid, run, start, coalesce(least(list_min(list_transform(
+                   list_filter(base, lambda b: b.start >= start), lambda b: b.start)), run.finish), run.finish) AS finish
+        FROM opened),
+    pieces AS (
+        SELECT rid, start, finish, substr(run.text, (start - run.start + 1)::BIGINT, (finish - start)::BIGINT) AS x
+        FROM closed WHERE finish - start >= {secrets.WINDOW}),
+    judged AS (
+        SELECT *, {_SUSPICIOUS} AS ok FROM pieces),
+    halves AS (
+        SELECT rid, start AS first, unnest({_spans(_PARTS, 3, 'true', value='x', more=", 'text': x")
+                                            .replace('lambda x, i', 'lambda hit, i')
+                                            .replace('length(x)', 'length(hit)').replace("'text': x", "'text': hit")}) AS part
+        FROM judged WHERE NOT ok),
+    parts AS (
+        SELECT rid, first + part.start AS start, first + part.finish AS finish, part.text AS x FROM halves),
+    spans AS (
+        SELECT rid, list({{'start': start::BIGINT, 'kind': 3, 'finish': finish::BIGINT, 'ok': true}}) AS added
+        FROM (SELECT rid, start, finish FROM judged WHERE ok
+              UNION ALL SELECT rid, start, finish FROM parts WHERE {_SUSPICIOUS})
+        GROUP BY rid)
     SELECT doc_id, len(assign)::BIGINT AS n_assign, len(access)::BIGINT AS n_access, len(hex)::BIGINT AS n_hex,
-           sha256({_joined('base')}) AS base_sha256, {_joined('list_concat(base, added)')} AS spans
-    FROM cleared
+           sha256({_joined('base')}) AS base_sha256, {_joined('list_concat(base, coalesce(added, []))')} AS spans
+    FROM merged LEFT JOIN spans USING (rid)
 """
 
 _MIXING = """

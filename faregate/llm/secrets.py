@@ -7,11 +7,11 @@ between them, in characters. Matches that fail the pattern's length are dropped.
 The entropy method looks at candidates, runs of 24 characters or more of
 letters, digits and ``+/_=-``. A window of ``WINDOW`` characters slides over each
 one; the counts of the window's characters, and the sum of n * log2(n) over them,
-are kept up by the character that enters and the one that leaves. A candidate
-whose highest window entropy reaches the threshold of its character class is a
-span of kind ``entropy``. Classes: ``hex`` (only hex digits), ``alnum`` (letters
-and digits), ``base64`` (any). The allow-list suppresses candidates that are no
-secrets: words joined by single signs, runs without a digit, numbers, UUIDs,
+are kept up at two places, for the character that enters and the one that leaves.
+A candidate whose highest window entropy reaches the threshold of its character
+class is a span of kind ``entropy``. Classes: ``hex`` (only hex digits), ``alnum``
+(letters and digits), ``base64`` (any). The allow-list suppresses candidates that are
+no secrets: words joined by single signs, runs without a digit, numbers, UUIDs,
 dates, and texts that say so (example, placeholder, dummy, xxxx). Spans that
 overlap a pattern's span are left to the pattern.
 
@@ -22,15 +22,23 @@ the patterns' spans, and of that, if it is no span either, what lies between
 ``=`` and ``/``. A part is a span if it is suspicious by itself; a word that says
 so suppresses only the part it is in.
 
+A text takes time in proportion to its length and, up to a small factor, the number of
+its matches: matches and candidates are merged in one sweep by start, a candidate's
+pieces are cut from its own bytes, and what is found is gathered in blocks.
+
 Null texts are empty and have no span. Repeated rows are scanned alike. An empty
 table gives no rows. Further columns of the input are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from faregate.llm.common import bound, folded
+
 # The patterns of the contract, the letters of the first in either case.
 ASSIGN = (
     "(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
@@ -43,7 +51,8 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 24
 CANDIDATE = "[A-Za-z0-9+/_=-]{24,}"
-PART = "[A-Za-z0-9+_-]{24,}"  # of a candidate, between = and /
+# Of a candidate, next to = or /; a run of these signs is tried from its start only.
+PART = "(?<=[=/])[A-Za-z0-9+_-]{24,}|(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{24,}+(?=[=/])"
 # Bits per character that a class's window has to reach.
 THRESHOLDS = {"hex": 3.1, "alnum": 3.7, "base64": 3.7}
 # What is let through.
@@ -56,77 +65,98 @@ SAYS_SO = (
 )
 ALLOWED = SHAPES + "|" + SAYS_SO
 
+# As Java runs it: a group repeated without a way back needs no stack for each repeat; the same texts match.
+JVM_SHAPES = SHAPES.replace("{1,4}))*[", "{1,4}))*+[")
+
 SPAN = "struct<start:int,kind:int,finish:int>"
+MATCH = "struct<start:int,text:string,finish:int>"
+PIECE = "struct<start:int,kind:int,finish:int,text:string>"  # kind 1: a part
+
+# The counts of a window are a text of one letter per kind of character, A for none.
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"  # a window of 24 has counts up to 24
+RISE = [(n + 1) * math.log2(n + 1) - (n * math.log2(n) if n else 0.0) for n in range(WINDOW + 1)]  # of n * log2(n)
 
 
-def matches(value: Column, pattern: str) -> tuple[Column, Column]:
-    """All matches of a pattern, and where each starts (from 0)."""
-    found = F.regexp_extract_all(value, F.lit(pattern), F.lit(0))
-    between = F.split(value, pattern, -1)
-    lengths = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(
-        F.char_length(gap).alias("gap"), F.char_length(hit).alias("hit")
-    ))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+def located(value: Column, pattern: str) -> Column:
+    """All matches of a pattern: ``start`` (from 0), ``text``, ``finish``."""
 
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + part["gap"]
-        return F.struct((start + part["hit"]).alias("at"), F.concat(state["out"], F.array(start)).alias("out"))
+    def placed(found: Column) -> Column:
+        between = F.slice(F.split(value, pattern, -1), 1, F.size(found))
+        pairs = F.zip_with(between, found, lambda gap, hit: F.struct(
+            F.char_length(gap).alias("gap"), F.char_length(hit).alias("length"), hit.alias("hit")
+        ))
 
-    return found, F.aggregate(lengths, begin, step, lambda state: state["out"])
+        def step(at: Column, x: Column) -> tuple[Column, Column]:
+            start = at + x["gap"]
+            made = F.struct(start.alias("start"), x["hit"].alias("text"), (start + x["length"]).alias("finish"))
+            return start + x["length"], F.array(made)
+
+        return folded(pairs, F.lit(0), MATCH, step)["out"]
+
+    none = F.array().cast(f"array<{MATCH}>")
+    return F.when(value.rlike(pattern), bound(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)), placed)).otherwise(none)
 
 
 def spans(value: Column, pattern: str, kind: int, holds: Column | None = None) -> Column:
     """Spans of one pattern; ``holds`` is an array of booleans that keeps some of the matches."""
-    none = F.array().cast(f"array<{SPAN}>")
-    found, starts = matches(value, pattern)
-    made = F.zip_with(
-        starts,
-        found,
-        lambda start, hit: F.struct(
-            start.alias("start"), F.lit(kind).alias("kind"), (start + F.char_length(hit)).alias("finish")
-        ),
-    )
-    if holds is not None:
-        made = F.transform(
-            F.filter(F.arrays_zip(made.alias("span"), holds.alias("holds")), lambda x: x["holds"]), lambda x: x["span"]
-        )
-    return F.when(value.rlike(pattern), made).otherwise(none)
 
+    def span(x: Column) -> Column:
+        return F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["finish"].alias("finish"))
 
-def _weight(count: Column) -> Column:
-    """n * log2(n), with 0 for 0."""
-    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+    found = located(value, pattern)
+    if holds is not None:
+        both = F.zip_with(found, holds, lambda x, ok: F.struct(x.alias("x"), ok.alias("ok")))
+        return F.transform(F.filter(both, lambda b: b["ok"] & b["x"].isNotNull()), lambda b: span(b["x"]))
+    return F.transform(found, span)
 
 
 def peak_entropy(candidate: Column) -> Column:
     """The highest Shannon entropy, in bits per character, of any window of the candidate.
 
-    For each place the state holds the counts of the characters in the window and
-    the sum of n * log2(n); a character's coming and going changes one term each.
+    The state holds the counts of the characters in the window, as a text of one
+    letter each, and the sum of n * log2(n); a character's coming and going changes
+    one letter and one term each.
     """
-    codes = F.transform(F.split(candidate, ""), lambda c: F.ascii(c))
-    zero = F.array_repeat(F.lit(0), 128)
-    begin = F.struct(zero.alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1.0).alias("least"))
+    rises = F.array(*[F.lit(r) for r in RISE])
+
+    def count(counts: Column, place: Column) -> Column:
+        return F.ascii(F.substr(counts, place, F.lit(1))) - ord(LETTERS[0])
+
+    def with_count(counts: Column, place: Column, n: Column) -> Column:
+        return F.overlay(counts, F.substr(F.lit(LETTERS), n + 1, F.lit(1)), place, F.lit(1))
+
+    def slide(codes: Column) -> Column:
+        begin = F.struct(F.repeat(F.lit(LETTERS[0]), F.array_max(codes)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1.0).alias("least"), F.lit(0).alias("at"))
+
+        def step(state: Column, enters: Column) -> Column:
+            def left(old: Column) -> Column:
+                fewer = F.when(full_before, with_count(state["counts"], leaves, old - 1)).otherwise(state["counts"])
+                total = state["sum"] - F.when(full_before, F.get(rises, old - 1)).otherwise(0.0)
+                return F.struct(fewer.alias("counts"), total.alias("sum"))
+
+            def entered(s: Column) -> Column:
+                return bound(count(s["counts"], enters), lambda n: F.struct(
+                    with_count(s["counts"], enters, n + 1).alias("counts"), (s["sum"] + F.get(rises, n)).alias("sum")
+                ))
+
+            def judged(s: Column) -> Column:
+                full = state["at"] >= WINDOW - 1
+                lower = full & ((state["least"] < 0) | (s["sum"] < state["least"]))
+                least = F.when(lower, s["sum"]).otherwise(state["least"])
+                return F.struct(s["counts"].alias("counts"), s["sum"].alias("sum"), least.alias("least"), (state["at"] + 1).alias("at"))
 
-    def bump(counts: Column, code: Column, by: int) -> Column:
-        return F.transform(counts, lambda n, i: n + F.when(i == code, F.lit(by)).otherwise(F.lit(0)))
+            full_before = state["at"] >= WINDOW
+            leaves = F.get(codes, state["at"] - WINDOW)
+            old = F.when(full_before, count(state["counts"], leaves)).otherwise(0)
+            return bound(bound(bound(old, left), entered), judged)
 
-    def step(state: Column, at: Column) -> Column:
-        enters, leaves = F.get(codes, at), F.get(codes, at - WINDOW)
-        old = F.when(at >= WINDOW, F.get(state["counts"], leaves)).otherwise(F.lit(0))
-        less = F.when(at >= WINDOW, _weight(old) - _weight(old - 1)).otherwise(F.lit(0.0))
-        fewer = F.when(at >= WINDOW, bump(state["counts"], leaves, -1)).otherwise(state["counts"])
-        now = F.get(fewer, enters)
-        total = state["sum"] - less + _weight(now + 1) - _weight(now)
-        full = at >= WINDOW - 1
-        least = F.when(full & ((state["least"] < 0) | (total < state["least"])), total).otherwise(state["least"])
-        return F.struct(bump(fewer, enters, 1).alias("counts"), total.alias("sum"), least.alias("least"))
+        return F.aggregate(codes, begin, step, lambda state: state["least"])
 
-    places = F.sequence(F.lit(0), F.char_length(candidate) - 1)
-    least = F.aggregate(places, begin, step, lambda state: state["least"])
-    import math
+    def places(characters: Column) -> Column:
+        return bound(F.array_distinct(characters), lambda kinds: F.transform(characters, lambda c: F.array_position(kinds, c).cast("int")))
 
-    return F.lit(math.log2(WINDOW)) - least / F.lit(float(WINDOW))
+    codes = bound(F.split(candidate, ""), places)
+    return F.lit(math.log2(WINDOW)) - bound(codes, slide) / F.lit(float(WINDOW))
 
 
 def suspicious(candidate: Column) -> Column:
@@ -136,7 +166,8 @@ def suspicious(candidate: Column) -> Column:
         .when(candidate.rlike("^[A-Za-z0-9]+$"), F.lit(THRESHOLDS["alnum"]))
         .otherwise(F.lit(THRESHOLDS["base64"]))
     )
-    return ~candidate.rlike(ALLOWED) & (peak_entropy(candidate) >= needed)
+    allowed = candidate.rlike(JVM_SHAPES) | candidate.rlike(SAYS_SO)
+    return F.when(allowed, F.lit(False)).otherwise(peak_entropy(candidate) >= needed)
 
 
 def joined(found: Column) -> Column:
@@ -151,57 +182,57 @@ def joined(found: Column) -> Column:
     )
 
 
-def _meets(base: Column, run: Column) -> Column:
-    """Whether a pattern's span overlaps a run."""
-    return F.exists(base, lambda b: (b["start"] < run["finish"]) & (run["start"] < b["finish"]))
+def pieces_outside(base: Column, runs: Column, kind: int) -> Column:
+    """What of each run lies outside the patterns' spans, in pieces of 24 characters or more; a run that meets none is one.
 
+    Spans and runs are swept by start.
+    """
+    item = "struct<start:int,kind:int,finish:int,bytes:binary>"
+    no_bytes = F.lit(None).cast("binary")
+    spans_in = F.transform(base, lambda b: F.struct(b["start"], F.lit(0), b["finish"], no_bytes)).cast(f"array<{item}>")
+    runs_in = F.transform(
+        runs, lambda r: F.struct(r["start"], F.lit(1), r["finish"], r["text"].cast("binary"))  # cut at once, whatever the place
+    ).cast(f"array<{item}>")
+    end = F.lit((1 << 31) - 1)
+    last = F.array(F.struct(end, F.lit(1), end, no_bytes)).cast(f"array<{item}>")
+    none = F.array().cast(f"array<{PIECE}>")
+
+    def piece(s: Column, finish: Column) -> Column:
+        text = F.substr(s["bytes"], s["at"] - s["start"] + 1, finish - s["at"]).cast("string")
+        made = F.struct(s["at"].alias("start"), F.lit(kind).alias("kind"), finish.alias("finish"), text.alias("text"))
+        return F.when(s["bytes"].isNotNull() & (finish - s["at"] >= WINDOW), F.array(made)).otherwise(none)
+
+    def state(start: Column, finish: Column, bytes_: Column, at: Column, reach: Column) -> Column:
+        return F.struct(
+            start.alias("start"), finish.alias("finish"), bytes_.alias("bytes"), at.alias("at"), reach.alias("reach")
+        )
 
-def outside(base: Column, run: Column) -> Column:
-    """What of a run lies outside the patterns' spans: ``start, text``, of 24 characters or more."""
-    edges = "struct<at:int,out:array<struct<start:int,finish:int>>>"
-    begin = F.struct(run["start"].alias("at"), F.array().alias("out")).cast(edges)
-
-    def add(state: Column, finish: Column) -> Column:
-        gap = F.array(F.struct(state["at"].alias("start"), finish.alias("finish")))
-        return F.when(state["at"] < finish, F.concat(state["out"], gap)).otherwise(state["out"])
-
-    def step(state: Column, b: Column) -> Column:
-        return F.struct(F.greatest(state["at"], b["finish"]).alias("at"), add(state, b["start"]).alias("out"))
-
-    met = F.array_sort(F.filter(base, lambda b: (b["start"] < run["finish"]) & (run["start"] < b["finish"])))
-    left = F.aggregate(met, begin, step, lambda state: add(state, run["finish"]))
-    return F.transform(
-        F.filter(left, lambda x: x["finish"] - x["start"] >= WINDOW),
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            run["text"].substr(x["start"] - run["start"] + 1, x["finish"] - x["start"]).alias("text"),
-        ),
-    )
-
+    def step(s: Column, x: Column) -> tuple[Column, Column]:
+        span = x["kind"] == 0
+        reach = F.greatest(s["reach"], F.when(span, x["finish"]).otherwise(0))
+        inside = state(s["start"], s["finish"], s["bytes"], F.greatest(s["at"], x["finish"]), reach)
+        opened = state(x["start"], x["finish"], x["bytes"], F.greatest(x["start"], s["reach"]), reach)
+        ends = F.when(span, F.least(x["start"], s["finish"])).otherwise(s["finish"])
+        return F.when(span, inside).otherwise(opened), piece(s, ends)
 
-def between_signs(piece: Column) -> Column:
-    """The parts of a piece between ``=`` and ``/``: ``start, text``, of 24 characters or more."""
-    found, starts = matches(piece["text"], PART)
-    return F.zip_with(
-        starts, found, lambda at, text: F.struct((piece["start"] + at).alias("start"), text.alias("text"))
-    )
+    begin = state(F.lit(0), F.lit(0), no_bytes, F.lit(0), F.lit(0))
+    swept = F.concat(F.sort_array(F.concat(spans_in, runs_in)), last)
+    return F.when(F.size(runs) > 0, folded(swept, begin, PIECE, step)["out"]).otherwise(none)
 
 
-def _judged(pieces: Column) -> Column:
-    """``start, text, ok`` of pieces ``start, text``."""
-    return F.transform(
-        pieces, lambda x: F.struct(x["start"].alias("start"), x["text"].alias("text"), suspicious(x["text"]).alias("ok"))
-    )
+def chosen(marked: Column) -> Column:
+    """Of pieces and their parts the spans: a piece that is ``ok``, else those of its parts that are."""
+    none = F.array().cast(f"array<{SPAN}>")
 
+    def step(piece: Column, x: Column) -> tuple[Column, Column]:
+        part = x["kind"] == 1
+        holds = x["ok"] & (~part | ((x["start"] < piece["finish"]) & ~piece["ok"]))
+        span = F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["finish"].alias("finish"))
+        after = F.struct(x["finish"].alias("finish"), x["ok"].alias("ok"))
+        return F.when(part, piece).otherwise(after), F.when(holds, F.array(span)).otherwise(none)
 
-def _as_spans(pieces: Column) -> Column:
-    """The spans of pieces that are ``ok``."""
-    return F.transform(
-        F.filter(pieces, lambda x: x["ok"]),
-        lambda x: F.struct(
-            x["start"].alias("start"), F.lit(3).alias("kind"), (x["start"] + F.char_length(x["text"])).alias("finish")
-        ),
-    )
+    begin = F.struct(F.lit(0).alias("finish"), F.lit(False).alias("ok"))
+    return F.when(F.size(marked) > 0, folded(F.sort_array(marked), begin, SPAN, step)["out"]).otherwise(none)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -210,34 +241,18 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     long_enough = F.transform(
         F.regexp_extract_all(value, F.lit(ASSIGN), F.lit(1)), lambda secret: F.char_length(secret) >= ASSIGN_LEAST
     )
-    found, starts = matches(value, CANDIDATE)
-    run = "struct<start:int,text:string,finish:int,ok:boolean>"
-    runs = F.zip_with(
-        starts,
-        found,
-        lambda at, text: F.struct(
-            at.alias("start"), text.alias("text"), (at + F.char_length(text)).alias("finish"), suspicious(text).alias("ok")
+    base = F.concat(spans(value, ASSIGN, 0, long_enough), spans(value, ACCESS, 1), spans(value, HEX, 2))
+    unshaped = F.filter(located(value, CANDIDATE), lambda r: ~r["text"].rlike(JVM_SHAPES))
+    judged = F.transform(
+        F.concat(pieces_outside(F.col("base"), F.col("runs"), 0), pieces_outside(F.col("base"), F.col("parts"), 1)),
+        lambda x: F.struct(
+            x["start"].alias("start"), x["kind"].alias("kind"), x["finish"].alias("finish"), suspicious(x["text"]).alias("ok")
         ),
     )
-    whole = docs.select(
-        F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("value")
-    ).select(
-        "id",
-        F.concat(
-            spans(value, ASSIGN, 0, long_enough), spans(value, ACCESS, 1), spans(value, HEX, 2)
-        ).alias("base"),
-        F.when(value.rlike(CANDIDATE), runs).otherwise(F.array().cast(f"array<{run}>")).alias("runs"),
-    )
-    base = F.col("base")
-    clear = F.filter("runs", lambda r: r["ok"] & ~_meets(base, r))
-    again = F.filter("runs", lambda r: ~r["text"].rlike(SHAPES) & (~r["ok"] | _meets(base, r)))
-    pieces = whole.select(
-        "id",
-        "base",
-        _as_spans(clear).alias("clear"),
-        _judged(F.flatten(F.transform(again, lambda r: outside(base, r)))).alias("pieces"),
-    )
-    parts = F.flatten(F.transform(F.filter("pieces", lambda x: ~x["ok"]), between_signs))
-    return pieces.select(
-        "id", "base", F.concat("clear", _as_spans(F.col("pieces")), _as_spans(_judged(parts))).alias("added")
+    # one step at a time: each is planned by itself
+    return (
+        docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("value"))
+        .select("id", base.alias("base"), unshaped.alias("runs"), located(value, PART).alias("parts"))
+        .select("id", "base", judged.alias("judged"))
+        .select("id", "base", chosen(F.col("judged")).alias("added"))
     )
