@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLAB_BYTES = 1 << 20  # texts worked on at once inside a task; one longer text is a slab of its own
 
@@ -38,9 +39,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _type_ddl(kind: T.DataType) -> str:
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_type_ddl(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{_type_ddl(kind.keyType)},{_type_ddl(kind.valueType)}>"
+    if isinstance(kind, T.StructType):
+        return f"struct<{','.join(f'{_quoted(f.name)}:{_type_ddl(f.dataType)}' for f in kind.fields)}>"
+    return kind.simpleString()
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def field_ddl(df: DataFrame, *names: str) -> str:
-    """The named columns as a DDL list, with the types they have in ``df``."""
-    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+    """The named columns as a DDL list, with the types they have in ``df``; names inside structs are quoted too."""
+    return ", ".join(f"{_quoted(n)} {_type_ddl(df.schema[n].dataType)}" for n in names)
 
 
 def packed(df: DataFrame) -> DataFrame:
@@ -48,6 +63,22 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def hashable(df: DataFrame, row: str) -> Column:
+    """Of a struct of all columns of ``df`` what a hash takes: equal maps may list their keys in another order, so none."""
+    names = [f.name for f in df.schema if not _holds_map(f.dataType)]
+    if len(names) == len(df.columns):
+        return F.col(row)
+    return F.struct(*[F.col(row)[name] for name in names] or [F.lit(0)])
+
+
 def bound(value: Column, make: Callable[[Column], Column]) -> Column:
     """``make(value)`` with the value computed once, however often ``make`` and the functions inside it look at it."""
     return F.get(F.transform(F.array(value), make), F.lit(0))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregate.llm.common import mix, shingles, slabs
+from faregate.llm.common import hashable, mix, shingles, slabs
 from faregate.llm.components import components
 from faregate.operators.layout import written
 
@@ -381,4 +381,6 @@ def drop_near_duplicates(
     kept = rows.join(
         stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("text_hash") == F.col("stay_hash"))
     ).withColumn("copy", F.when(F.col("bare"), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
-    return kept.groupBy("id", "text_hash", "copy").agg(F.first("row").alias("row")).select("row.*")
+    # of rows alike in id and text the same one whenever a task is run again
+    chosen = F.min_by("row", F.xxhash64(hashable(docs, "row"))).alias("row")
+    return kept.groupBy("id", "text_hash", "copy").agg(chosen).select("row.*")

@@ -20,7 +20,8 @@ source without a weight, or with a weight that is not above zero, is left out.
 A null source is a source of its own. Null ids draw alike, as do rows that
 repeat an id in a source. Texts, null, empty or long, are only carried. An empty
 table gives no rows. Names that clash with ``copy`` and ``copies`` make those
-two take a leading underscore.
+two take a leading underscore, or more until no column has their names. Map columns are
+carried like others; they only take no part in the order of the copies.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from faregate.llm.common import hashable
 from faregate.operators.joins import broadcast_if_small
 from faregate.operators.layout import written
 
@@ -103,9 +105,11 @@ def mix_sources(
     copies = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda total, part: total + drawn(part))
     counted = named.select("row", "id", copies.alias("copies")).filter("copies > 0")
     every = counted.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    order = F.xxhash64(F.lit(seed), "id", "copy", "row")
+    order = F.xxhash64(F.lit(seed), "id", "copy", hashable(docs, "row"))
     mixed = every.withColumn("order", order).repartition("order").sortWithinPartitions("order")
     if not with_copies:
         return mixed.select("row.*")
-    lead = "_" if {"copy", "copies"} & {c.lower() for c in docs.columns} else ""
+    lead, taken = "", {c.lower() for c in docs.columns}
+    while {f"{lead}copy", f"{lead}copies"} & taken:
+        lead += "_"
     return mixed.select("row.*", F.col("copy").alias(f"{lead}copy"), F.col("copies").alias(f"{lead}copies"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faregate.llm.common import BASE, LOWER, PLACE, WORD_BYTE, held_out, mix, prefix_hash, slabs, span_hash
+from faregate.llm.common import BASE, LOWER, PLACE, WORD_BYTE, field_ddl, held_out, mix, prefix_hash, slabs, span_hash
 
 BITS, SCALE = 18, 10.0
 SAMPLE_ROWS = 12_000
@@ -160,7 +160,7 @@ def score(docs: DataFrame, weights: dict[int, float], text: str = "text", keep:
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:last_column], "score"])
 
     source = docs.select(*(keep or []), F.col(f"`{text}`").alias("__text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    kept = field_ddl(source, *source.columns[:-1])
     return source.mapInArrow(judge, f"{kept}, score double")
 
 
