@@ -69,6 +69,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
+def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV as common tools write it: line breaks, commas and quotes stand in quotes, a missing value is an empty field."""
+    df.write.mode(mode).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+
+
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON object per line; missing values are written as ``null``."""
     (

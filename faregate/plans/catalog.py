@@ -640,6 +640,16 @@ def csv_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_foreign_csv(spark, path, written.schema)
 
 
+def quoted_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole pages, their line breaks in quotes, in few large files that many tasks read."""
+    path = f"{shared_folder(spark)}/pages"
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    layout.write_quoted_csv(pages, path)
+    size = pages.agg(F.sum(joins.held_bytes(pages))).first()[0] or 0
+    split = max(size // 64, 4096)  # a record may span several
+    return tables.read_foreign_csv(spark, path, pages.schema, multi_line=True, split_bytes=split)
+
+
 QUERIES: dict[str, Query] = {
     "key_share": key_share,
     "curate_wide": curate_wide,
@@ -693,4 +703,5 @@ QUERIES: dict[str, Query] = {
     "artifact_check": artifact_check,
     "dataset_floor": dataset_floor,
     "csv_null_tokens": csv_null_tokens,
+    "quoted_csv_split": quoted_csv_split,
 }

@@ -408,6 +408,7 @@ SELECT DISTINCT pickup_date FROM daily EXCEPT SELECT pickup_date FROM daily WHER
   count(*) >= 40000000 AS rows_ok, count(DISTINCT date_trunc('month',l_shipdate)) >= 6 AS months_ok,
   sum(72+strlen(l_returnflag)+strlen(l_linestatus))::bigint AS raw_bytes,
   sum(72+strlen(l_returnflag)+strlen(l_linestatus)) >= 3000000000 AS bytes_ok FROM lineitem""",
+    "quoted_csv_split": "SELECT page_id, url, html FROM pages",
     "csv_null_tokens": """SELECT c_custkey, nullif(nullif(c_mktsegment,'FURNITURE'),'MACHINERY') AS c_mktsegment,
   nullif(c_nationkey,7) AS c_nationkey FROM customer""",
 }

@@ -7,9 +7,11 @@ visible in the stage report; ``production`` leaves every run-time remedy on.
 from __future__ import annotations
 
 import atexit
+import pathlib
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -99,6 +101,24 @@ def variant_session(spark: SparkSession, settings: dict[str, str]) -> SparkSessi
     return sibling
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may start where it cannot be imported."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # on the driver, which serves it
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the checkpoint folder the cluster names.
 

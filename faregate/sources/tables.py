@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from faregate import schemas
 from faregate.operators import layout
+from faregate.sources import quoted_csv
 
 
 class UnreadableTimestamps(ValueError):
@@ -50,15 +51,16 @@ def read_foreign_csv(
     schema: T.StructType,
     null_tokens: tuple[str, ...] = schemas.CSV_NULL_TOKENS,
     multi_line: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """CSV of another tool; every pandas null text becomes a missing value.
 
     Spark knows one null text per read, so columns are read as text and cast
     in the same projection. A value that does not fit its type is an error,
     as the cast is the strict one. With ``multi_line`` quoted line breaks are
-    read as such, at the price of one task per file.
+    read as such; files are then split all the same, see ``quoted_csv``.
     """
-    raw = _csv_texts(spark, path, schema, multi_line)
+    raw = quoted_csv.read_texts(spark, path, schema.names, split_bytes) if multi_line else _csv_texts(spark, path, schema)
     tokens = [token for token in null_tokens if token]
     return raw.select(
         *[
@@ -70,14 +72,13 @@ def read_foreign_csv(
     )
 
 
-def _csv_texts(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def _csv_texts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     return (
         spark.read.schema(text)
         .option("header", True)
         .option("escape", '"')
         .option("enforceSchema", False)
-        .option("multiLine", multi_line)
         .csv(path)
     )
 
