@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import pathlib
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,24 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLAB_BYTES = 1 << 20  # texts worked on at once inside a task; one longer text is a slab of its own
-
-
-_SHIPPED: set[str] = set()
+from faregate.session import ship
 
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, which may start where it cannot be imported."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = pathlib.Path(__file__).resolve().parent.parent
-    archive = pathlib.Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # on the driver, which serves it
-    with zipfile.ZipFile(archive, "w") as out:
-        for path in sorted(package.rglob("*.py")):
-            out.write(path, path.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _SHIPPED.add(context.applicationId)
+SLAB_BYTES = 1 << 20  # texts worked on at once inside a task; one longer text is a slab of its own
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
