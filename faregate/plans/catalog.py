@@ -23,6 +23,7 @@ from faregate.operators import (
     replicate,
     sampling,
     shares,
+    snapshots,
     stages,
 )
 from faregate.plans import trips
@@ -650,6 +651,34 @@ def quoted_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_foreign_csv(spark, path, pages.schema, multi_line=True, split_bytes=split)
 
 
+def keyed_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days delivered again by key, after a writer that failed and before one that comes twice; other days stay."""
+    root = f"{shared_folder(spark)}/table"
+    events = _daily_events(spark, sf_dir).select("event_id", "value", "pickup_date")
+    snapshots.create(events, root, by="pickup_date", delivery="first")
+    id = F.col("event_id")
+    again = events.where(F.col("pickup_date").isin("2024-01-02", "2024-01-10"))
+    changed = again.where(id % 10 == 3).withColumns({"value": F.col("value") + 1, "gone": F.lit(False)})
+    removed = again.where(id % 10 == 4).withColumns({"value": F.lit(None).cast("double"), "gone": F.lit(True)})
+    added = again.where(id % 50 == 0).withColumns({"event_id": id + 1_000_000_000, "gone": F.lit(False)})
+    delivery = replicate.union_versions(changed, removed, added)
+    snapshots.add_files(delivery.drop("gone"), root, "pickup_date")  # it ends before it commits
+    for _ in range(2):
+        snapshots.merge(delivery, root, ["pickup_date", "event_id"], "corrections", deleted="gone", by="pickup_date")
+    return snapshots.read(spark, root)
+
+
+def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of one large and many small files; only the small ones are written anew."""
+    root = f"{shared_folder(spark)}/table"
+    events = table(spark, sf_dir, "events")
+    late = F.col("event_id") % 10 >= 7
+    snapshots.create(events.where(~late).coalesce(1).unionByName(events.where(late).repartition(30)), root)
+    largest = snapshots.files(spark, root).agg(F.max("bytes")).first()[0]
+    snapshots.compact(spark, root, file_bytes=largest)
+    return snapshots.read(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     "key_share": key_share,
     "curate_wide": curate_wide,
@@ -704,4 +733,6 @@ QUERIES: dict[str, Query] = {
     "dataset_floor": dataset_floor,
     "csv_null_tokens": csv_null_tokens,
     "quoted_csv_split": quoted_csv_split,
+    "keyed_redelivery": keyed_redelivery,
+    "compact_table": compact_table,
 }

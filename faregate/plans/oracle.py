@@ -408,6 +408,12 @@ SELECT DISTINCT pickup_date FROM daily EXCEPT SELECT pickup_date FROM daily WHER
   count(*) >= 40000000 AS rows_ok, count(DISTINCT date_trunc('month',l_shipdate)) >= 6 AS months_ok,
   sum(72+strlen(l_returnflag)+strlen(l_linestatus))::bigint AS raw_bytes,
   sum(72+strlen(l_returnflag)+strlen(l_linestatus)) >= 3000000000 AS bytes_ok FROM lineitem""",
+    "keyed_redelivery": """WITH days AS (SELECT event_id, value, strftime(ts,'%Y-%m-%d') AS pickup_date FROM events),
+again AS (SELECT * FROM days WHERE pickup_date IN ('2024-01-02','2024-01-10'))
+SELECT event_id, CASE WHEN event_id % 10 = 3 AND pickup_date IN ('2024-01-02','2024-01-10') THEN value+1 ELSE value END AS value,
+  pickup_date FROM days WHERE NOT (event_id % 10 = 4 AND pickup_date IN ('2024-01-02','2024-01-10'))
+UNION ALL SELECT event_id+1000000000, value, pickup_date FROM again WHERE event_id % 50 = 0""",
+    "compact_table": "SELECT * FROM events",
     "quoted_csv_split": "SELECT page_id, url, html FROM pages",
     "csv_null_tokens": """SELECT c_custkey, nullif(nullif(c_mktsegment,'FURNITURE'),'MACHINERY') AS c_mktsegment,
   nullif(c_nationkey,7) AS c_nationkey FROM customer""",
