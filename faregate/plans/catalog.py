@@ -12,6 +12,7 @@ from faregate.functions import calendar, rounding, text
 from faregate.operators import (
     curate,
     defects,
+    difference,
     duplicates,
     fingerprint,
     gates,
@@ -679,6 +680,26 @@ def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read(spark, root)
 
 
+def layout_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a copy in another layout has changed, lost or doubled, without a join of the two."""
+    root = f"{shared_folder(spark)}"
+    events = _daily_events(spark, sf_dir)
+    id = F.col("event_id")
+    copied = events.where(id % 101 != 0).withColumn("value", F.when(id % 97 == 0, F.col("value") + 1).otherwise(F.col("value")))
+    layout.write_partitioned(replicate.union_versions(copied, events.where(id % 103 == 0)), f"{root}/copy", "pickup_date")
+    layout.write_parquet(events, f"{root}/flat")
+    copy = tables.read_partitioned(spark, f"{root}/copy", events.schema)
+    return difference.difference(tables.read_parquet(spark, f"{root}/flat"), copy)
+
+
+def hot_key_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot keys among nearly as many keys as rows."""
+    order = F.col("l_orderkey")
+    key = F.when(order % 5 == 0, -1).when(order % 7 == 0, -2).when(order % 40 == 3, -(order % 3) - 3)
+    line = table(spark, sf_dir, "lineitem").select(F.coalesce(key, order * 10 + F.col("l_linenumber")).alias("key"))
+    return shares.hot_keys(line, "key", 0.005)
+
+
 QUERIES: dict[str, Query] = {
     "key_share": key_share,
     "curate_wide": curate_wide,
@@ -732,6 +753,8 @@ QUERIES: dict[str, Query] = {
     "artifact_check": artifact_check,
     "dataset_floor": dataset_floor,
     "csv_null_tokens": csv_null_tokens,
+    "layout_difference": layout_difference,
+    "hot_key_sketch": hot_key_sketch,
     "quoted_csv_split": quoted_csv_split,
     "keyed_redelivery": keyed_redelivery,
     "compact_table": compact_table,

@@ -414,6 +414,15 @@ SELECT event_id, CASE WHEN event_id % 10 = 3 AND pickup_date IN ('2024-01-02','2
   pickup_date FROM days WHERE NOT (event_id % 10 = 4 AND pickup_date IN ('2024-01-02','2024-01-10'))
 UNION ALL SELECT event_id+1000000000, value, pickup_date FROM again WHERE event_id % 50 = 0""",
     "compact_table": "SELECT * FROM events",
+    "layout_difference": """WITH flat AS (SELECT *, strftime(ts,'%Y-%m-%d') AS pickup_date FROM events),
+copy AS (SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN value+1 ELSE value END AS value) FROM flat WHERE event_id % 101 <> 0
+  UNION ALL SELECT * FROM flat WHERE event_id % 103 = 0)
+SELECT *, 'left' AS side, count(*) AS times FROM (SELECT * FROM flat EXCEPT ALL SELECT * FROM copy) GROUP BY ALL
+UNION ALL SELECT *, 'right', count(*) FROM (SELECT * FROM copy EXCEPT ALL SELECT * FROM flat) GROUP BY ALL""",
+    "hot_key_sketch": """WITH line AS (SELECT CASE WHEN l_orderkey % 5 = 0 THEN -1 WHEN l_orderkey % 7 = 0 THEN -2
+    WHEN l_orderkey % 40 = 3 THEN -(l_orderkey % 3)-3 ELSE l_orderkey*10+l_linenumber END AS key FROM lineitem)
+SELECT key, count(*) AS n, count(*)/(SELECT count(*) FROM line) AS share FROM line GROUP BY 1
+HAVING count(*)/(SELECT count(*) FROM line) >= 0.005""",
     "quoted_csv_split": "SELECT page_id, url, html FROM pages",
     "csv_null_tokens": """SELECT c_custkey, nullif(nullif(c_mktsegment,'FURNITURE'),'MACHINERY') AS c_mktsegment,
   nullif(c_nationkey,7) AS c_nationkey FROM customer""",
