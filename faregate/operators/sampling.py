@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from faregate.functions import digest
 from faregate.functions.text import numbered_label
+from faregate.operators.ranks import first_rows
 
 
 @dataclass(frozen=True)
@@ -105,6 +106,29 @@ def sample_exact(
     return with_picks(df, key, {"__picked": Pick(salt, wanted)}).where("__picked").drop("__picked")
 
 
+RACE_DIGITS = 13  # hex digits of a draw: 52 bits
+
+
+def race_time(key: Column, weight: Column, salt: str) -> Column:
+    """-ln(u) / weight for a draw u in (0, 1] of the key: the waiting time of an exponential race; null if it can't win."""
+    number = F.conv(F.substring(digest.draw(key, salt), 1, RACE_DIGITS), 16, 10).cast("bigint")
+    u = (number + 1) / F.lit(float(16**RACE_DIGITS))
+    return F.when(weight > 0, -F.ln(u) / weight.cast("double"))
+
+
+def weighted_sample(df: DataFrame, key: str, weight: str, salt: str, size: int | Callable[[Column], Column]) -> DataFrame:
+    """Exactly ``size`` rows without replacement, drawn one after another in proportion to their weights.
+
+    Every row runs an exponential race at the rate of its weight, and the first ``size``
+    rows win; that is the same as drawing them in turn. The time of the last winner is
+    found as a rank, by brackets, so nothing is sorted and the result is a filter. Rows
+    whose weight is missing or not above zero never win; if too few others are there,
+    all of them do. With a unique key the number is exact.
+    """
+    timed = df.withColumn("__race", race_time(F.col(key), F.col(weight), salt)).where("__race IS NOT NULL")
+    return first_rows(timed, "__race", size).drop("__race")
+
+
 # Boroughs of the fallback lookup with their number of zones, and
 # the weights of its service zones.
 FALLBACK_BOROUGHS = {

@@ -13,6 +13,7 @@ from faregate.operators import (
     curate,
     defects,
     difference,
+    drift,
     duplicates,
     fingerprint,
     gates,
@@ -31,7 +32,7 @@ from faregate.plans import trips
 from faregate.plans.trips import TRIP_EVENTS, table
 from faregate.schemas import CHARGE_COLUMNS, PAYMENT_LABELS
 from faregate.session import SQL_PROFILES, shared_folder, variant_session
-from faregate.sources import tables
+from faregate.sources import quarantine, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -700,6 +701,61 @@ def hot_key_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.hot_keys(line, "key", 0.005)
 
 
+def weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A twentieth of the orders, large ones likelier."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sampling.weighted_sample(orders, "o_orderkey", "o_totalprice", "race", lambda n: F.floor(n / 20).cast("bigint"))
+
+
+def drift_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days on which columns of the events appear, vanish or change their share of missing values."""
+    id, day = F.col("event_id"), calendar.iso_date(F.col("ts"))
+    value, user = F.col("value"), F.col("user_id")
+    columns = {
+        "appears": F.when(day >= "2024-01-12", value),
+        "vanishes": F.when(day < "2024-01-20", user),
+        "twice": F.when((day < "2024-01-08") | (id % 10 < F.when(day < "2024-01-23", 3).otherwise(8)), value),
+        "steady": F.when(id % 20 != 0, value),
+        "event_type": F.col("event_type"),
+    }
+    events = table(spark, sf_dir, "events").select(day.alias("day"), *[c.alias(name) for name, c in columns.items()])
+    return drift.change_points(events, "day", list(columns)).drop("share_before", "share_after")
+
+
+def strongest_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best cut of the days for each column, with its score."""
+    id, day = F.col("event_id"), calendar.iso_date(F.col("ts"))
+    late = F.when(F.col("event_type") == "click", day >= "2024-01-15").otherwise(day >= "2024-01-09")
+    events = table(spark, sf_dir, "events").select(
+        day.alias("day"),
+        F.when(late | (id % 7 == 0), F.col("value")).alias("value"),
+        F.when(~late | (id % 3 == 0), F.col("user_id")).alias("user_id"),
+    )
+    days = drift.missing_per_day(events, "day", ["value", "user_id"]).withColumn("stretch", F.lit(0))
+    return drift.best_cuts(days).drop("stretch")
+
+
+def quarantine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines, some of them broken: good rows, and bad lines with their reasons."""
+    path = f"{shared_folder(spark)}/lines"
+    id = F.col("event_id")
+    row = F.concat(
+        F.lit('{"event_id":'), id.cast("string"), F.lit(',"event_type":"'), F.col("event_type"),
+        F.lit('","user_id":'), F.when(id % 50 == 9, F.lit('"many"')).otherwise(F.col("user_id").cast("string")), F.lit("}"),
+    )
+    line = (
+        F.when(id % 50 == 7, F.substr(row, F.lit(1), F.char_length(row) - 4)).when(id % 50 == 11, "").when(id % 50 == 13, "[1, 2]")
+        .when(id % 50 == 15, F.replace(row, F.lit('"event_id"'), F.lit('"id"'))).otherwise(row)
+    )
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    schema = T.StructType(
+        [T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("user_id", T.LongType())]
+    )
+    good = quarantine.good_rows(spark, path, schema, ["event_id"])
+    bad = quarantine.bad_lines(spark, path, schema, ["event_id"]).select("line", "reason")
+    return replicate.union_versions(good, bad)
+
+
 QUERIES: dict[str, Query] = {
     "key_share": key_share,
     "curate_wide": curate_wide,
@@ -755,6 +811,10 @@ QUERIES: dict[str, Query] = {
     "csv_null_tokens": csv_null_tokens,
     "layout_difference": layout_difference,
     "hot_key_sketch": hot_key_sketch,
+    "weighted_sample": weighted_sample,
+    "drift_points": drift_points,
+    "strongest_drift": strongest_drift,
+    "quarantine_lines": quarantine_lines,
     "quoted_csv_split": quoted_csv_split,
     "keyed_redelivery": keyed_redelivery,
     "compact_table": compact_table,

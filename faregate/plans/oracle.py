@@ -423,6 +423,33 @@ UNION ALL SELECT *, 'right', count(*) FROM (SELECT * FROM copy EXCEPT ALL SELECT
     WHEN l_orderkey % 40 = 3 THEN -(l_orderkey % 3)-3 ELSE l_orderkey*10+l_linenumber END AS key FROM lineitem)
 SELECT key, count(*) AS n, count(*)/(SELECT count(*) FROM line) AS share FROM line GROUP BY 1
 HAVING count(*)/(SELECT count(*) FROM line) >= 0.005""",
+    "weighted_sample": """SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 0
+QUALIFY row_number() OVER (ORDER BY -ln((('0x'||substr(md5(o_orderkey::varchar||':race'),1,13))::bigint+1)/4503599627370496.0::double)
+  / o_totalprice) <= (SELECT count(*) FROM orders WHERE o_totalprice > 0) // 20""",
+    "drift_points": """SELECT c AS "column", d AS day, k AS kind FROM (VALUES ('appears','2024-01-12','appeared'),
+  ('vanishes','2024-01-20','vanished'),('twice','2024-01-08','drifted'),('twice','2024-01-23','drifted')) v(c,d,k)
+WHERE (SELECT count(DISTINCT ts::date) FROM events) > 0""",
+    "strongest_drift": """WITH e AS (SELECT strftime(ts,'%Y-%m-%d') AS day, event_id, value, user_id,
+    CASE WHEN event_type='click' THEN strftime(ts,'%Y-%m-%d') >= '2024-01-15' ELSE strftime(ts,'%Y-%m-%d') >= '2024-01-09' END AS late FROM events),
+per AS (SELECT 'value' AS "column", day, count(*) AS n, count(*) FILTER (NOT (late OR event_id % 7 = 0) OR value IS NULL) AS missing FROM e GROUP BY day
+  UNION ALL SELECT 'user_id', day, count(*), count(*) FILTER (NOT (NOT late OR event_id % 3 = 0) OR user_id IS NULL) FROM e GROUP BY day),
+cuts AS (SELECT "column", day,
+    (sum(n) OVER ahead)::double AS n1, (sum(missing) OVER ahead)::double AS m1,
+    (sum(n) OVER (PARTITION BY "column"))::double AS n, (sum(missing) OVER (PARTITION BY "column"))::double AS m
+  FROM per WINDOW ahead AS (PARTITION BY "column" ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+scored AS (SELECT "column", day, m1/n1 AS share_before, (m-m1)/(n-n1) AS share_after,
+    CASE WHEN n1*(n-n1)*(m*(n-m)) > 0 THEN (m1*(n-n1)-(m-m1)*n1)/(n1*(n-n1)*(m*(n-m)))*(m1*(n-n1)-(m-m1)*n1)*n ELSE 0.0 END AS score
+  FROM cuts WHERE n1 IS NOT NULL)
+SELECT * FROM scored WHERE score >= 20 AND abs(share_after-share_before) >= 0.1
+QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY score DESC, day) = 1""",
+    "quarantine_lines": """WITH e AS (SELECT event_id, event_type, user_id, '{"event_id":'||event_id||',"event_type":"'||event_type||
+    '","user_id":'||CASE WHEN event_id % 50 = 9 THEN '"many"' ELSE user_id::varchar END||'}' AS row FROM events)
+SELECT event_id, event_type, user_id, NULL::varchar AS line, NULL::varchar AS reason FROM e WHERE event_id % 50 NOT IN (7,9,11,13,15)
+UNION ALL SELECT NULL, NULL, NULL,
+  CASE event_id % 50 WHEN 7 THEN substr(row,1,length(row)-4) WHEN 11 THEN '' WHEN 13 THEN '[1, 2]'
+    WHEN 15 THEN replace(row,'"event_id"','"id"') ELSE row END,
+  CASE event_id % 50 WHEN 7 THEN 'not JSON' WHEN 9 THEN 'type of user_id' WHEN 11 THEN 'blank' WHEN 13 THEN 'not an object' ELSE 'no event_id' END
+FROM e WHERE event_id % 50 IN (7,9,11,13,15)""",
     "quoted_csv_split": "SELECT page_id, url, html FROM pages",
     "csv_null_tokens": """SELECT c_custkey, nullif(nullif(c_mktsegment,'FURNITURE'),'MACHINERY') AS c_mktsegment,
   nullif(c_nationkey,7) AS c_nationkey FROM customer""",
