@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from faregate.functions import calendar, rounding, text
 from faregate.operators import (
+    cluster,
     curate,
     defects,
     difference,
@@ -32,7 +33,7 @@ from faregate.plans import trips
 from faregate.plans.trips import TRIP_EVENTS, table
 from faregate.schemas import CHARGE_COLUMNS, PAYMENT_LABELS
 from faregate.session import SQL_PROFILES, shared_folder, variant_session
-from faregate.sources import quarantine, tables
+from faregate.sources import footers, quarantine, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -681,6 +682,56 @@ def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read(spark, root)
 
 
+def _delivered_versions(spark: SparkSession, sf_dir: str) -> str:
+    """Events in three deliveries: narrow types, wider ones, and wider ones with a further column."""
+    path = f"{shared_folder(spark)}/versions"
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", calendar.iso_date(F.col("ts")).alias("day"))
+    narrow = events.where(F.col("day") < "2024-01-10").withColumns(
+        {"user_id": F.col("user_id").cast("int"), "value": F.col("value").cast("float")}
+    )
+    late = events.where(F.col("day") >= "2024-01-20").withColumn("channel", F.concat(F.lit("c"), F.col("user_id") % 5))
+    for delivery in (narrow, events.where(F.col("day").between("2024-01-10", "2024-01-19")), late):
+        layout.write_parquet(delivery, path, mode="append")
+    return path
+
+
+def schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three schema versions in one scan, in types that hold them all."""
+    return footers.read_versions(spark, _delivered_versions(spark, sf_dir))
+
+
+def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which types each column has had, and in how many rows, from the footers alone."""
+    history = footers.schema_history(footers.footers(spark, _delivered_versions(spark, sf_dir)))
+    return history.select("name", "kind", "rows")
+
+
+def clustered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of two boxes of ship date and quantity, from a clustered and a flat table.
+
+    ``fewer_groups``: by their footers, less than half as many row groups had to be read as in the flat table.
+    """
+    root = shared_folder(spark)
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice")
+    by = ("l_shipdate", "l_quantity")
+    cluster.write_clustered(lines, f"{root}/clustered", *by, files=64)
+    layout.write_small_files(lines, f"{root}/flat", 64)
+    day = 86_400_000_000.0
+    boxes = spark.createDataFrame(
+        [(9496 * day, 9586 * day, 5.0, 9.0), (10957 * day, 11047 * day, 30.0, 33.0)],
+        "low0 double, high0 double, low1 double, high1 double",
+    )
+    groups = {n: cluster.hit_groups(cluster.group_bounds(spark, f"{root}/{n}", *by), boxes).count() for n in ("clustered", "flat")}
+    return replicate.union_versions(
+        *[
+            cluster.read_boxes(spark, f"{root}/{name}", *by, boxes)
+            .withColumn("layout", F.lit(name))
+            .withColumn("fewer_groups", F.lit(2 * groups[name] < groups["flat"]))
+            for name in groups
+        ]
+    )
+
+
 def layout_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a copy in another layout has changed, lost or doubled, without a join of the two."""
     root = f"{shared_folder(spark)}"
@@ -809,6 +860,9 @@ QUERIES: dict[str, Query] = {
     "artifact_check": artifact_check,
     "dataset_floor": dataset_floor,
     "csv_null_tokens": csv_null_tokens,
+    "schema_versions": schema_versions,
+    "schema_history": schema_history,
+    "clustered_read": clustered_read,
     "layout_difference": layout_difference,
     "hot_key_sketch": hot_key_sketch,
     "weighted_sample": weighted_sample,

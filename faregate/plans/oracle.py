@@ -414,6 +414,20 @@ SELECT event_id, CASE WHEN event_id % 10 = 3 AND pickup_date IN ('2024-01-02','2
   pickup_date FROM days WHERE NOT (event_id % 10 = 4 AND pickup_date IN ('2024-01-02','2024-01-10'))
 UNION ALL SELECT event_id+1000000000, value, pickup_date FROM again WHERE event_id % 50 = 0""",
     "compact_table": "SELECT * FROM events",
+    "schema_versions": """SELECT event_id, user_id, CASE WHEN day < '2024-01-10' THEN value::float::double ELSE value END AS value, day,
+  CASE WHEN day >= '2024-01-20' THEN 'c'||(user_id % 5) END AS channel
+FROM (SELECT *, strftime(ts,'%Y-%m-%d') AS day FROM events)""",
+    "schema_history": """WITH e AS (SELECT strftime(ts,'%Y-%m-%d') AS day FROM events)
+SELECT v.name, v.kind, count(*) AS rows FROM e JOIN (VALUES
+  ('event_id','bigint','2024-01-01','2024-01-31'), ('day','string','2024-01-01','2024-01-31'),
+  ('user_id','int','2024-01-01','2024-01-09'), ('user_id','bigint','2024-01-10','2024-01-31'),
+  ('value','float','2024-01-01','2024-01-09'), ('value','double','2024-01-10','2024-01-31'),
+  ('channel','string','2024-01-20','2024-01-31')) v(name, kind, since, till) ON day BETWEEN since AND till
+GROUP BY 1,2""",
+    "clustered_read": """SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, l_extendedprice, t.layout, t.layout='clustered' AS fewer_groups
+FROM lineitem, (VALUES ('clustered'),('flat')) t(layout)
+WHERE (l_shipdate BETWEEN '1996-01-01' AND '1996-03-31' AND l_quantity BETWEEN 5 AND 9)
+   OR (l_shipdate BETWEEN '2000-01-01' AND '2000-03-31' AND l_quantity BETWEEN 30 AND 33)""",
     "layout_difference": """WITH flat AS (SELECT *, strftime(ts,'%Y-%m-%d') AS pickup_date FROM events),
 copy AS (SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN value+1 ELSE value END AS value) FROM flat WHERE event_id % 101 <> 0
   UNION ALL SELECT * FROM flat WHERE event_id % 103 = 0)
