@@ -8,7 +8,7 @@ linear.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +30,13 @@ def as_number(column: Column, kind: T.DataType) -> Column:
     return column.cast("double")
 
 
-def _rank(value: Column, bounds: Sequence[float]) -> Column:
-    """16 bits: the quantile a value lies in, then its share of that quantile. Missing values come first."""
+def _rank(value: Column, at: Column, bounds: Column) -> Column:
+    """16 bits: the quantile a value lies in, its lower bound at place ``at``, then its share of that quantile."""
     steps = 1 << INNER_BITS
-    out = F.when(value.isNull(), F.lit(0).cast("bigint"))
-    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
-        if low < high:
-            share = F.greatest((value - low) * (steps / (high - low)), F.lit(0.0))
-            out = out.when(value < high, i * steps + F.least(F.floor(share), F.lit(steps - 1)))
-    return out.otherwise(F.lit((len(bounds) - 1) * steps - 1).cast("bigint"))
+    low, high = F.get(bounds, at), F.get(bounds, at + 1)
+    inner = F.floor((value - low) * steps / (high - low))  # null from the last bound on
+    inside = F.least(F.greatest(F.coalesce(inner, F.lit(steps - 1)), F.lit(0)), F.lit(steps - 1))
+    return F.when(value.isNull(), F.lit(0)).otherwise(at * steps + inside).cast("bigint")
 
 
 def _spread(rank: Column) -> Column:
@@ -55,9 +53,17 @@ def placed(df: DataFrame, first: str, second: str) -> DataFrame:
     found = df.agg(*[F.percentile_approx(n, shares, 10_000).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
     # in steps: each looks several times at what the one before made
     out = df.withColumns({f"{PLACE}{i}": n for i, n in enumerate(numbers)})
-    out = out.withColumns({f"{PLACE}{i}": _rank(F.col(f"{PLACE}{i}"), found[i] or [0.0, 0.0]) for i in (0, 1)})
+    bounds = [sorted({b for b in q or () if math.isfinite(b)}) or [0.0] for q in found]
+    arrays = [F.array(*[F.lit(b) for b in each]) for each in bounds]
+    names = [(f"{PLACE}{i}", f"{PLACE}at{i}", arrays[i]) for i in (0, 1)]
+    out = out.withColumns({at: F.lit(0) for _, at, _ in names})
+    half = QUANTILES // 2
+    while half:  # halving, a projection a step; beyond the last bound there is none, so nothing is added
+        step = {at: F.col(at) + F.when(F.get(b, F.col(at) + half) <= F.col(v), half).otherwise(0) for v, at, b in names}
+        out, half = out.withColumns(step), half // 2
+    out = out.withColumns({v: _rank(F.col(v), F.col(at), b) for v, at, b in names})
     both = F.shiftleft(_spread(F.col(f"{PLACE}0")), 1).bitwiseOR(_spread(F.col(f"{PLACE}1")))
-    return out.withColumn(PLACE, both).drop(f"{PLACE}0", f"{PLACE}1")
+    return out.withColumn(PLACE, both).drop(*[f"{PLACE}{x}" for x in ("0", "1", "at0", "at1")])
 
 
 def write_clustered(df: DataFrame, path: str, first: str, second: str, files: int, mode: str = "overwrite") -> None:
