@@ -3,7 +3,9 @@
 1. Each window of ``length`` bytes is owned by an anchor: of the 64-byte grams it
    holds, the one with the smallest hash, the leftmost of equals. Equal windows
    have equal anchors at equal offsets. Consecutive windows with one anchor are
-   a block; on average a block covers some seventy window starts.
+   a block; on average a block covers some seventy window starts. Of a block that
+   follows itself again and again two rows stay; very long texts are cut into
+   overlapping pieces first.
 2. Blocks whose anchor's hash occurs once in the corpus hold no repeated window
    and are dropped: anchors are counted, then blocks are semi-joined.
 3. Equal blocks of one anchor are repeated as a whole. Where an anchor also has
@@ -43,6 +45,7 @@ GROUP = 2_048  # distinct blocks of one anchor that one task takes
 RUN = 1 << 16  # symbols of one suffix array
 STEP = 16  # offsets that share a core
 PLACE_BITS = np.uint64(28)
+CUT = 1 << 24  # window starts of one text that are looked at at once; places need fewer bits than PLACE_BITS
 
 
 def blocks(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -77,33 +80,73 @@ def blocks(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarra
     return row, first - starts[row], last - starts[row], place - starts[row], grams[place], content
 
 
+def pieces(data: np.ndarray, starts: np.ndarray, length: int, cut: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """A slab as it is, or a long text in pieces of ``cut`` window starts: where a piece begins, its bytes, its starts.
+
+    A block that a cut divides becomes two; any division of windows into blocks gives the same result.
+    """
+    if len(starts) > 2 or len(data) < cut + length:
+        yield 0, data, starts
+        return
+    for low in range(0, len(data) - length + 1, cut):
+        piece = data[low : low + cut + length - 1]
+        yield low, piece, np.array([0, len(piece)])
+
+
+def collapsed(found: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Blocks with ``span``, the windows after the first that a block stands for.
+
+    In text of a short period (a rule, padding) one block follows itself again and
+    again. The first two of such a run stay, which is enough for it to occur more than
+    once, and the first one stands for the whole run.
+    """
+    row, first, last, lead, anchor, content = found
+    again = np.zeros(len(row), dtype=bool)
+    again[1:] = first[1:] == last[:-1] + 1
+    for values in (row, last - first, lead - first, anchor, content):
+        again[1:] &= values[1:] == values[:-1]
+    heads = np.flatnonzero(~again)
+    span = last - first
+    span[heads] = last[np.append(heads[1:], len(row)) - 1] - first[heads] if len(heads) else 0
+    keep = ~again
+    keep[1:] |= again[1:] & ~again[:-1]
+    return tuple(values[keep] for values in (*found, span))
+
+
 def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     value = F.col(f"`{text}`")
     return docs.select(F.col(f"`{doc_id}`").alias("id"), F.hash(value).alias("text_hash"), value.alias("text"))
 
 
 def _blocks(source: DataFrame, length: int) -> DataFrame:
+    size = CUT
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, _, data, starts in slabs(batch.column(2)):
-                row, first, last, place, anchor, content = blocks(data, starts, length)
+            parts = (
+                (begin, low, collapsed(blocks(piece, edges, length)))
+                for begin, _, data, starts in slabs(batch.column(2))
+                for low, piece, edges in pieces(data, starts, length, size)
+            )
+            for begin, low, (row, first, last, place, anchor, content, span) in parts:
                 rows = pa.array(row + begin)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array(first.astype(np.int32)),
+                        pa.array((first + low).astype(np.int32)),
                         pa.array((last - first).astype(np.int32)),
                         pa.array((place - first).astype(np.int32)),
                         pa.array(anchor.view(np.int64)),
                         pa.array(content.view(np.int64)),
+                        pa.array(span.astype(np.int32)),
                     ],
-                    ["id", "text_hash", "first", "more", "lead", "anchor", "content"],
+                    ["id", "text_hash", "first", "more", "lead", "anchor", "content", "span"],
                 )
 
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(
-        scan, f"id {kind}, text_hash int, first int, more int, lead int, anchor bigint, content bigint"
+        scan, f"id {kind}, text_hash int, first int, more int, lead int, anchor bigint, content bigint, span int"
     )
 
 
@@ -338,7 +381,7 @@ def repeated_spans(source: DataFrame, length: int) -> DataFrame:
     distinct = written(found.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), one))
     whole = found.join(distinct.filter("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
     whole = whole.select(
-        "id", "text_hash", F.col("first").alias("low"), (F.col("first") + F.col("more") + length).alias("high")
+        "id", "text_hash", F.col("first").alias("low"), (F.col("first") + F.col("span") + length).alias("high")
     )
 
     counts = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("blocks"), F.min("n").alias("least"))

@@ -78,3 +78,44 @@ def test_very_long_text_and_kept_bytes(spark):
 
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(documents(spark, [])).count() == 0
+
+
+def low_entropy():
+    """Rules, padding and short periods, alone, inside prose and cut off at either end."""
+    rule, dots = "=" * 700, "-." * 300
+    rows = [(1, rule, "en", "s"), (2, f"{prose(1, 40)}\n{rule}\n{prose(2, 40)}", "en", "s"), (3, "=" * 200, "en", "s")]
+    rows += [(4, f"{prose(3, 30)} {dots} {prose(4, 30)} {dots[:350]}", "en", "s"), (5, "abc" * 150 + "ab" * 150, "en", "s")]
+    return [*rows, (6, "\0" * 900 + prose(5, 50) + "\0" * 201, "en", "s"), (7, "q" * 199, "en", "s")]
+
+
+@pytest.mark.parametrize("cut", [1 << 24, 64, 331])
+@pytest.mark.parametrize("group", [2_048, 1])
+def test_short_periods_and_cut_texts_like_brute_force(spark, cut, group, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CUT", cut)
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    rows = low_entropy() + passages(5)[:25]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    assert result(suffix_dedup.remove_repeats(documents(spark, rows, clash=False))) == brute(rows)
+
+
+@pytest.mark.parametrize("cut", [1, 7, 100, 1000])
+def test_pieces_hold_every_window_once(cut):
+    data = np.frombuffer(prose(6, 300).encode(), dtype=np.uint8)
+    found = [
+        low + at
+        for low, piece, edges in suffix_dedup.pieces(data, np.array([0, len(data)]), 200, cut)
+        for at in range(len(piece) - 200 + 1)
+    ]
+    assert found == list(range(len(data) - 200 + 1))
+
+
+def test_equal_characters_are_two_blocks():
+    data = np.full(5_000_000, 61, dtype=np.uint8)
+    found = suffix_dedup.collapsed(suffix_dedup.blocks(data, np.array([0, len(data)]), 200))
+    assert len(found[0]) == 2 and found[-1][0] + 200 == len(data)
+
+
+def test_millions_of_equal_characters(spark):
+    rows = [(1, "=" * 5_000_000, "en", "s"), (2, "=" * 150 + prose(7, 100), "en", "s")]
+    got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(documents(spark, rows, clash=False)).collect()}
+    assert (got[1]["n_removed"], got[1]["n_spans"], got[2]["n_removed"]) == (5_000_000, 1, 0)
