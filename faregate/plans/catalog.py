@@ -714,8 +714,10 @@ def clustered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice")
     by = ("l_shipdate", "l_quantity")
-    cluster.write_clustered(lines, f"{root}/clustered", *by, files=64)
-    layout.write_small_files(lines, f"{root}/flat", 64)
+    size = layout.listing(spark, f"{sf_dir}/lineitem.parquet").agg(F.sum("length")).first()[0] or 0
+    files = max(64, size >> 27)  # of 128 MB at most, by the whole table's size
+    cluster.write_clustered(lines, f"{root}/clustered", *by, files=files)
+    layout.write_small_files(lines, f"{root}/flat", files)
     day = 86_400_000_000.0
     boxes = spark.createDataFrame(
         [(9496 * day, 9586 * day, 5.0, 9.0), (10957 * day, 11047 * day, 30.0, 33.0)],
